@@ -75,8 +75,11 @@ def filter_short_tracks_in_period(df: DataFrame, cfg: Config) -> DataFrame:
     ``df`` carries ``period`` with its bounds ``min_time`` and ``max_time``.
     """
     keys = ["period", "track"]
-    spans = track_lengths(df.select(*keys, "base_datetime"), keys).join(
-        df.groupBy("period").agg(F.first("min_time").alias("_from"), F.first("max_time").alias("_to")), "period"
+    spans = df.groupBy(*keys).agg(
+        F.min("base_datetime").alias("track_start"),
+        F.max("base_datetime").alias("track_end"),
+        F.first("min_time").alias("_from"),
+        F.first("max_time").alias("_to"),
     )
     keep = spans.where(
         (F.col("track_end") - F.col("track_start") > cfg.min_track)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from keelson.config import Config
 from keelson.functions.ordered import CHUNK
+from keelson.functions.storage import cut
 from keelson.operators import cleaning, tracks
 from keelson.sources.dims import status_codes
 
@@ -28,8 +29,11 @@ def attribute_rules(df: DataFrame, cfg: Config, vessel_dim: DataFrame, status_di
 
 
 def clean_tracks(df: DataFrame, cfg: Config) -> DataFrame:
-    """Full rules on complete trajectories: stationary, ranges, speed, tracks, minimum length."""
-    moving = _usable(cleaning.drop_stationary(df, cfg), cfg)
+    """Full rules on complete trajectories: stationary, ranges, speed, tracks, minimum length.
+
+    The rows left after the range rules are read by every later step, so they are stored.
+    """
+    moving = cut(_usable(cleaning.drop_stationary(df, cfg), cfg))
     steady = cleaning.speed_outliers(moving, cfg)
     return tracks.filter_short_tracks(tracks.assign_tracks(steady, cfg), cfg)
 
@@ -53,7 +57,7 @@ def clean_period(df: DataFrame, cfg: Config, vessel_dim: DataFrame, status_dim:
     the bounds are kept whatever their length.
     """
     rows = _per_group(attribute_rules(df, cfg, vessel_dim, status_dim), "period")
-    moving = _usable(cleaning.drop_stationary(rows, cfg), cfg)
+    moving = cut(_usable(cleaning.drop_stationary(rows, cfg), cfg))
     steady = _as_before(cleaning.speed_outliers(moving, cfg, complete=False))
     tracked = tracks.assign_tracks(steady, cfg, ("period", "mmsi"))
     kept = tracks.filter_short_tracks_in_period(tracked, cfg)
@@ -68,15 +72,15 @@ def clean(
     Periods are split by time first, so no trajectory spans train and test; ``is_test``
     overrides the default of the last share of the months in ``cfg.years``.
     """
-    first = clean_period(df, cfg, vessel_dim, status_dim)
+    first = cut(clean_period(df, cfg, vessel_dim, status_dim))
     if is_test is None:
         is_test = tracks.split_by_month(
             F.col("base_datetime"), (min(cfg.years), 1), 12 * len(cfg.years), cfg.test_fraction
         ) == F.lit("test")
     rows = _per_group(first.withColumn("_test", is_test), "_test")
-    moving = _usable(cleaning.drop_stationary(rows, cfg), cfg)
+    moving = cut(_usable(cleaning.drop_stationary(rows, cfg), cfg))
     steady = _as_before(cleaning.speed_outliers(moving, cfg))
-    tracked = tracks.assign_tracks(steady, cfg, ("_test", "mmsi"))
+    tracked = cut(tracks.assign_tracks(steady, cfg, ("_test", "mmsi")))
     spans = tracks.track_lengths(tracked, ("_test", "track"))
     long = spans.where(F.col("track_end") - F.col("track_start") > cfg.min_track)
     kept = tracked.join(long.select("_test", "track"), ["_test", "track"], "left_semi")
@@ -103,7 +107,7 @@ def clean_audit(df: DataFrame, cfg: Config, vessel_dim: DataFrame, status_dim: D
         F.count_if(ship & group).alias("n2"),
         F.count_if(ship & group & status).alias("n3"),
     )
-    flagged = cleaning.flag_stationary(attribute_rules(df, cfg, vessel_dim, status_dim), cfg)
+    flagged = cut(cleaning.flag_stationary(attribute_rules(df, cfg, vessel_dim, status_dim), cfg))
     usable = cleaning.valid_sog(cfg.sog_cutoff) & cleaning.valid_heading() & cleaning.valid_cog()
     moves = ~F.col("stationary")
     positions = flagged.agg(F.count_if(moves).alias("n4"), F.count_if(moves & usable).alias("n5"))

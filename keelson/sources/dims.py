@@ -85,13 +85,17 @@ def status_codes(names) -> list[int]:
     return sorted({by_name[name] for name in names})
 
 
+def _inline_table(spark: SparkSession, rows, columns: str) -> DataFrame:
+    """A table of literals, folded into the plan rather than read through Python."""
+    values = ", ".join("(" + ", ".join(repr(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({columns})")
+
+
 def status_dim(spark: SparkSession) -> DataFrame:
     """(status_text lower case, status_code): 19 rows."""
-    rows = [(text.lower(), code) for code, text in NAVIGATION_STATUSES]
-    return spark.createDataFrame(rows, "status_text string, status_code int")
+    return _inline_table(spark, [(text.lower(), code) for code, text in NAVIGATION_STATUSES], "status_text, status_code")
 
 
 def vessel_dim(spark: SparkSession) -> DataFrame:
     """(type_text, vessel_group): one row per listed code."""
-    rows = [(code, group_text(group)) for code, group in VESSEL_TYPES]
-    return spark.createDataFrame(rows, "type_text string, vessel_group string")
+    return _inline_table(spark, [(code, group_text(group)) for code, group in VESSEL_TYPES], "type_text, vessel_group")

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from keelson.config import Box, Config
 from keelson.functions.clock import seconds_of
-from keelson.operators import cleaning, tracks
+from keelson.functions.storage import cut
+from keelson.operators import cleaning, resample, tracks
 from keelson.sources.dims import status_dim, vessel_dim
 
 CFG = Config(
@@ -132,7 +133,7 @@ def split_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The given tables span one month, so days stand in for months here.
     """
-    rows = long_tracks(spark, sf_dir)
+    rows = cut(long_tracks(spark, sf_dir))
     start = F.min("base_datetime")
     first = rows.groupBy("track").agg(start.alias("_start"))
     test = F.col("_start") >= SPLIT_SECOND
@@ -141,6 +142,11 @@ def split_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return train_valid.unionByName(tagged.where("_test").drop("_test").withColumn("split", F.lit("test")))
 
 
+def resampled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Split tracks on the hourly grid."""
+    return resample.interpolate_tracks(split_tracks(spark, sf_dir), CFG)
+
+
 SPLIT_SECOND = 1_705_708_800  # 2024-01-20 00:00 UTC
 EPOCH = 1_704_067_200  # 2024-01-01 00:00 UTC
 
