@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions.clock import day_of_month, hour_of, month_of, year_of
@@ -23,7 +23,8 @@ def currents_to_long(df: DataFrame, longitudes: list[str]) -> DataFrame:
     Longitudes given as 180..360 degrees throughout are moved to -180..0.
     """
     shift = -360.0 if all(float(name) > 180 for name in longitudes) else 0.0
-    cells = df.unpivot(["time", "latitude"], longitudes, "longitude", "speed")
+    columns = [F.col(f"`{name}`") for name in longitudes]
+    cells = df.unpivot(["time", "latitude"], columns, "longitude", "speed")
     seconds = F.col("time")
     return cells.select(
         "latitude",

@@ -4,6 +4,7 @@ from workload import shared_sql  # noqa: F401
 from workload import cleaning_queries  # noqa: F401
 from workload import source_queries  # noqa: F401
 from workload import window_queries  # noqa: F401
+from workload import current_queries  # noqa: F401
 from workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

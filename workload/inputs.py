@@ -124,8 +124,9 @@ def valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def long_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Valid messages on tracks longer than the minimum."""
-    return tracks.filter_short_tracks(tracks.assign_tracks(valid(spark, sf_dir), CFG), CFG)
+    """Valid messages on tracks longer than the minimum: a stage output, so stored."""
+    tracked = cut(tracks.assign_tracks(valid(spark, sf_dir), CFG))
+    return cut(tracks.filter_short_tracks(tracked, CFG))
 
 
 def split_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -133,7 +134,7 @@ def split_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     The given tables span one month, so days stand in for months here.
     """
-    rows = cut(long_tracks(spark, sf_dir))
+    rows = long_tracks(spark, sf_dir)
     start = F.min("base_datetime")
     first = rows.groupBy("track").agg(start.alias("_start"))
     test = F.col("_start") >= SPLIT_SECOND
