@@ -194,33 +194,55 @@ def pack_currents(u: DataFrame, v: DataFrame) -> DataFrame:
     return both.groupBy(*STAMP).agg(F.array_sort(F.collect_list(cell)).alias("currents"))
 
 
-def mean_currents(df: DataFrame) -> DataFrame:
-    """One row: the cells with their mean u and v over the rows of ``df``.
+def mean_currents(df: DataFrame, packed: DataFrame) -> DataFrame:
+    """One row: every cell of ``packed`` with its mean u and v over the messages of ``df``.
 
-    Rows are counted per stamp first, so the wide part is weighted and summed once per
-    stamp instead of once per row.
+    Messages are counted per stamp first, so the currents are weighted and summed once per
+    stamp instead of once per message.
     """
-    per_stamp = df.where(F.col("currents").isNotNull()).groupBy(*STAMP).agg(
-        F.count(F.lit(1)).alias("_n"), F.first("currents").alias("currents")
-    )
-    cells = per_stamp.select("_n", F.inline("currents"))
-    weight = F.col("_n")
+    weights = with_stamp(df).groupBy(*STAMP).agg(F.count(F.lit(1)).alias("_n"))
+    cells = packed.select(*STAMP, F.inline("currents")).join(weights, list(STAMP), "left")
 
     def mean(name):
-        total = F.sum(F.when(F.col(name).isNotNull(), weight))
-        return F.bround(F.sum(F.col(name) * weight) / total, 0).alias(name)
+        total = F.sum(F.when(F.col(name).isNotNull(), F.col("_n")))
+        return F.bround(F.try_divide(F.sum(F.col(name) * F.col("_n")), total), 0).cast("smallint").alias(name)
 
     means = cells.groupBy("lat", "lon").agg(mean("u"), mean("v"))
-    return means.agg(F.array_sort(F.collect_list(F.struct("lat", "lon", "u", "v"))).alias("mean_currents"))
+    return means.agg(F.array_sort(F.collect_list(F.struct("lat", "lon", "u", "v"))).alias("frame"))
 
 
 def append_packed(df: DataFrame, packed: DataFrame) -> DataFrame:
-    """Join packed currents to messages and fill missing stamps with the training means."""
-    joined = with_stamp(df).join(packed, list(STAMP), "left")
-    means = mean_currents(joined.where(F.col("split") == "train"))
-    return (
-        joined.join(F.broadcast(means), F.lit(True))
-        .withColumn("weather_is_imputed", F.col("currents").isNull())
-        .withColumn("currents", F.coalesce("currents", "mean_currents"))
-        .drop("mean_currents", "day", "hour")
+    """Join packed currents to messages and fill missing cells with the training means.
+
+    Filling is done on the stamps, before the join; only messages without any stamp get the
+    means here.  The frame of cells is one row of a few hundred entries.
+    """
+    frame = mean_currents(df.where(F.col("split") == "train"), packed)
+    known = F.map_from_entries(
+        F.transform("currents", lambda c: F.struct(F.struct(c["lat"], c["lon"]), F.struct(c["u"].alias("u"), c["v"].alias("v"))))
     )
+
+    def fill(cell):
+        seen = F.try_element_at(F.col("_known"), F.struct(cell["lat"].alias("lat"), cell["lon"].alias("lon")))
+        value = {n: F.coalesce(seen[n], cell[n]).alias(n) for n in ("u", "v")}
+        return F.struct(cell["lat"].alias("lat"), cell["lon"].alias("lon"), value["u"], value["v"])
+
+    filled = (
+        packed.withColumn("_known", known)
+        .join(F.broadcast(frame), F.lit(True))
+        .select(
+            *STAMP,
+            F.transform("frame", fill).alias("currents"),
+            (F.size("_known") < F.size("frame")).alias("_partial"),
+        )
+    )
+    types = dict(df.dtypes)
+    joined = with_stamp(df).join(filled, list(STAMP), "left").join(F.broadcast(frame), F.lit(True))
+    keep = {c: F.col(c).cast(types[c]) for c in ("year", "month") if c in types}
+    return joined.withColumns(
+        {
+            **keep,
+            "weather_is_imputed": F.coalesce("_partial", F.lit(True)),
+            "currents": F.coalesce("currents", "frame"),
+        }
+    ).drop("frame", "day", "hour", "_partial")

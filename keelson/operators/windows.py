@@ -93,3 +93,17 @@ def select_y_steps(df: DataFrame, cfg: Config, gap: int) -> DataFrame:
     stride = int(gap / cfg.step)
     first = cfg.history + stride - 1
     return df.where((F.col("step") >= first) & ((F.col("step") - first) % stride == 0))
+
+
+def tensor_parts(df: DataFrame, cfg: Config, features: Sequence[str]) -> DataFrame:
+    """X and Y sequences of every time gap: (dataset, time_gap, x_or_y, track, window_id, sequence).
+
+    Each window is gathered once; the parts are picked from the gathered steps.
+    """
+    whole = to_sequences(df, features, ("dataset", "track", "window_id"))
+    parts = []
+    for gap in cfg.time_gaps:
+        for name, steps in (("x", x_steps(cfg, gap)), ("y", y_steps(cfg, gap))):
+            picked = F.transform(F.array(*[F.lit(s + 1) for s in steps]), lambda s: F.element_at("sequence", s))
+            parts.append(F.struct(F.lit(gap).alias("time_gap"), F.lit(name).alias("x_or_y"), picked.alias("sequence")))
+    return whole.select("dataset", "track", "window_id", F.inline(F.array(*parts)))

@@ -242,18 +242,8 @@ FEATURES = ["base_datetime", "lat", "lon", "sog", "cog"]
 
 def tensors(spark, sf):
     """Test and train windows of every dataset as X and Y sequences per time gap."""
-    resampled = inputs.resampled(spark, sf)
-    rows = windows.window_datasets(resampled, CFG)
-    keys = ("dataset", "track", "window_id")
-    parts = []
-    for gap in CFG.time_gaps:
-        for name, select in (("x", windows.select_x_steps), ("y", windows.select_y_steps)):
-            sequences = windows.to_sequences(select(rows, CFG, gap), FEATURES, keys)
-            parts.append(sequences.withColumns({"time_gap": F.lit(gap), "x_or_y": F.lit(name)}))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    rows = windows.window_datasets(inputs.resampled(spark, sf), CFG)
+    return windows.tensor_parts(rows, CFG, FEATURES)
 
 
 cte(
