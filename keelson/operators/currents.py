@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -211,38 +211,40 @@ def mean_currents(df: DataFrame, packed: DataFrame) -> DataFrame:
     return means.agg(F.array_sort(F.collect_list(F.struct("lat", "lon", "u", "v"))).alias("frame"))
 
 
-def append_packed(df: DataFrame, packed: DataFrame) -> DataFrame:
-    """Join packed currents to messages and fill missing cells with the training means.
+def fill_packed(packed: DataFrame, frame: DataFrame) -> DataFrame:
+    """Every stamp with every cell of the frame, missing values taken from the frame's means.
 
-    Filling is done on the stamps, before the join; only messages without any stamp get the
-    means here.  The frame of cells is one row of a few hundred entries.
+    Adds ``partial``: the stamp lacked some cell.
     """
-    frame = mean_currents(df.where(F.col("split") == "train"), packed)
-    known = F.map_from_entries(
-        F.transform("currents", lambda c: F.struct(F.struct(c["lat"], c["lon"]), F.struct(c["u"].alias("u"), c["v"].alias("v"))))
+    names = ["lat", "lon"]
+    seen = packed.select(*STAMP, F.inline("currents")).withColumnRenamed("u", "_u").withColumnRenamed("v", "_v")
+    every = packed.select(*STAMP).join(F.broadcast(frame), F.lit(True)).select(*STAMP, F.inline("frame"))
+    cells = every.join(seen, [*STAMP, *names], "left")
+    cell = F.struct("lat", "lon", F.coalesce("_u", "u").alias("u"), F.coalesce("_v", "v").alias("v"))
+    missing = F.col("_u").isNull() | F.col("_v").isNull()
+    return cells.groupBy(*STAMP).agg(
+        F.array_sort(F.collect_list(cell)).alias("currents"), F.bool_or(missing).alias("partial")
     )
 
-    def fill(cell):
-        seen = F.try_element_at(F.col("_known"), F.struct(cell["lat"].alias("lat"), cell["lon"].alias("lon")))
-        value = {n: F.coalesce(seen[n], cell[n]).alias(n) for n in ("u", "v")}
-        return F.struct(cell["lat"].alias("lat"), cell["lon"].alias("lon"), value["u"], value["v"])
-
-    filled = (
-        packed.withColumn("_known", known)
-        .join(F.broadcast(frame), F.lit(True))
-        .select(
-            *STAMP,
-            F.transform("frame", fill).alias("currents"),
-            (F.size("_known") < F.size("frame")).alias("_partial"),
-        )
-    )
+
+def append_packed(
+    df: DataFrame, packed: DataFrame, describe: Callable[[DataFrame], DataFrame] = lambda stamps: stamps
+) -> DataFrame:
+    """Join packed currents to messages and fill what is missing with the training means.
+
+    ``describe`` adds columns computed from ``currents`` alone.  It runs on the stamps, of
+    which there are few, and the messages receive its results by the join; messages without
+    a stamp receive those of the mean frame, a single broadcast row.
+    """
+    frame = mean_currents(df.where(F.col("split") == "train"), packed)
+    stamps = describe(fill_packed(packed, frame))
+    fallback = describe(frame.withColumnRenamed("frame", "currents"))
+    added = fallback.columns
     types = dict(df.dtypes)
-    joined = with_stamp(df).join(filled, list(STAMP), "left").join(F.broadcast(frame), F.lit(True))
+    joined = with_stamp(df).join(stamps, list(STAMP), "left")
+    both = joined.join(F.broadcast(fallback.toDF(*[f"_mean_{c}" for c in added])), F.lit(True))
     keep = {c: F.col(c).cast(types[c]) for c in ("year", "month") if c in types}
-    return joined.withColumns(
-        {
-            **keep,
-            "weather_is_imputed": F.coalesce("_partial", F.lit(True)),
-            "currents": F.coalesce("currents", "frame"),
-        }
-    ).drop("frame", "day", "hour", "_partial")
+    filled = {c: F.when(F.col("partial").isNull(), F.col(f"_mean_{c}")).otherwise(F.col(c)) for c in added}
+    return both.withColumns(
+        {**keep, **filled, "weather_is_imputed": F.coalesce("partial", F.lit(True))}
+    ).drop("day", "hour", "partial", *[f"_mean_{c}" for c in added])

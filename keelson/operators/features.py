@@ -185,6 +185,11 @@ def with_magnitude_stats(df: DataFrame) -> DataFrame:
     return df.withColumns({"mean_current_magnitude": _mean(values), "std_current_magnitude": _std_pop(values)})
 
 
+def describe_currents(df: DataFrame) -> DataFrame:
+    """Every statistic that depends on the currents alone; apply it to stamps, not messages."""
+    return with_magnitude_stats(with_component_stats(df))
+
+
 def last_step(df: DataFrame) -> DataFrame:
     """One row per window: its last step, with the whole path as arrays ``lats`` and ``lons``."""
     others = [c for c in df.columns if c not in KEY]
@@ -202,12 +207,13 @@ def _by_distance(df: DataFrame) -> DataFrame:
     """Add ``_near``: the row's current cells, nearest first.
 
     The grid is a bounded array already in the row, so the nearest cells need neither a
-    join nor a shuffle.
+    join nor a shuffle.  Distances are compared in millimetres, so that cells equally far
+    but for rounding order by position.
     """
     near = F.transform(
         F.col("currents"),
         lambda c: F.struct(
-            haversine(F.col("lat"), F.col("lon"), c["lat"], c["lon"]).alias("km"),
+            F.floor(haversine(F.col("lat"), F.col("lon"), c["lat"], c["lon"]) * 1e6 + 0.5).alias("mm"),
             c["lat"].alias("lat"), c["lon"].alias("lon"), c["u"].alias("u"), c["v"].alias("v"),
         ),
     )

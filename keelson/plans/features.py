@@ -76,11 +76,12 @@ def fit_ranges(train: DataFrame, run: Run, cfg: Config, box: Box) -> dict[str, t
 def analysis_dataset(df: DataFrame, cfg: Config, gap: int) -> DataFrame:
     """One described row per window: clock, bearing, distance, path, currents around the ship, bins.
 
-    ``df`` holds window rows with packed ``currents``.  Current statistics are taken on the
-    last step only, after the windows have shrunk to one row each.
+    ``df`` holds window rows with packed ``currents`` and the columns
+    :func:`describe_currents` adds to stamps.  The currents around the ship are looked up
+    for the last step only, after the windows have shrunk to one row each.
     """
     history = df.where(F.col("step").isin(x_steps(cfg, gap)))
     described = fx.with_distance(fx.with_bearing(fx.with_local_time(history).drop("base_datetime")))
     last = fx.last_step(described)
-    currents = fx.nearest_arrays(fx.nearest_stats(fx.with_magnitude_stats(fx.with_component_stats(last))))
+    currents = fx.nearest_arrays(fx.nearest_stats(last))
     return fx.with_bins(currents.drop("currents"))

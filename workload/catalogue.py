@@ -6,6 +6,7 @@ from workload import source_queries  # noqa: F401
 from workload import window_queries  # noqa: F401
 from workload import current_queries  # noqa: F401
 from workload import feature_queries  # noqa: F401
+from workload import scoring_queries  # noqa: F401
 from workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -122,7 +122,7 @@ def packed(spark, sf):
 
 def with_currents(spark, sf):
     """Resampled rows with packed, gap-filled currents."""
-    return water.append_packed(inputs.resampled(spark, sf), packed(spark, sf))
+    return water.append_packed(inputs.resampled(spark, sf), cut(packed(spark, sf)), fx.describe_currents)
 
 
 # Cells per stamp, and the mean cells that stand in for missing stamps.
@@ -141,7 +141,7 @@ cte(
 cte(
     "row_cells",
     """select s.track, s.base_datetime, s.split, s.lat, s.lon, m.latitude, m.longitude,
-        cast(coalesce(c.speed, m.speed) as double) as u, cast(coalesce(c.v, m.v) as double) as v
+        cast(coalesce(c.speed, cast(m.speed as smallint)) as double) as u, cast(coalesce(c.v, cast(m.v as smallint)) as double) as v
       from stamped s cross join mean_cells m left join cells c using (year, month, day, hour, latitude, longitude)""",
 )
 _COMPONENTS = ["water_u_mean", "water_u_std", "water_v_mean", "water_v_std"]
@@ -159,8 +159,7 @@ def _q(names):
 
 @query("current_component_stats", f"select track, base_datetime, {_q(_COMPONENTS)} from row_stats")
 def _(spark, sf):
-    out = fx.with_component_stats(with_currents(spark, sf))
-    return out.select("track", "base_datetime", *[q4(F.col(c)).alias(c) for c in _COMPONENTS])
+    return with_currents(spark, sf).select("track", "base_datetime", *[q4(F.col(c)).alias(c) for c in _COMPONENTS])
 
 
 _MAGNITUDES = ["mean_current_magnitude", "std_current_magnitude"]
@@ -192,7 +191,7 @@ def _(spark, sf):
 cte(
     "near_cells",
     f"""select *, row_number() over (partition by track, base_datetime order by km, latitude, longitude) as nth from (
-      select *, {haversine_sql('lat', 'lon', 'latitude', 'longitude')} as km from row_cells)""",
+      select *, floor({haversine_sql('lat', 'lon', 'latitude', 'longitude')} * 1000000 + cast(0.5 as double)) as km from row_cells)""",
 )
 _NEAR = [f"{n}_closest_weather_magnitude_{s}" for n in fx.NEAREST_COUNTS for s in ("mean", "std") if (n, s) != (1, "std")]
 _NEAR_SQL = ", ".join(
