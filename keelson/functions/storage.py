@@ -30,9 +30,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the checkpoint folder and forget how it was made."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
+    """Write ``df`` below the checkpoint folder and go on from the written table.
+
+    Unlike an in-memory copy the table outlives lost executors; unlike an RDD checkpoint it
+    carries no constraints of the old plan into the next, which loops would pile up, and
+    its known size lets the planner choose joins by measure.
+    """
+    spark = df.sparkSession
+    path = work_folder(spark, "stage")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def work_folder(spark: SparkSession, name: str) -> str:

@@ -75,11 +75,10 @@ def knn_distance_curve(
         by_distance = Window.partitionBy("l_lat", "l_lon").orderBy("km", "r_lat", "r_lon")
         counted = near.withColumn("_upto", F.sum("r_w").over(by_distance.rowsBetween(Window.unboundedPreceding, 0)))
         found = (
-            counted.join(
-                open_spots, (F.col("l_lat") == open_spots["lat"]) & (F.col("l_lon") == open_spots["lon"])
-            )
+            counted.select(F.col("l_lat").alias("lat"), F.col("l_lon").alias("lon"), "_upto", "km")
+            .join(open_spots, ["lat", "lon"])
             .where(F.col("_upto") >= F.col("min_pts") - 1)
-            .groupBy(open_spots["lat"], open_spots["lon"], "w", "min_pts")
+            .groupBy("lat", "lon", "w", "min_pts")
             .agg(F.min("km").alias("km"))
         )
         found = cut(found)
@@ -205,33 +204,36 @@ def _cell_edges(cores: DataFrame, direct_pairs: int) -> DataFrame:
     return edges
 
 
-def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 100) -> DataFrame:
+def _jump(hooks: DataFrame) -> DataFrame:
+    """Follow every pointer one pointer further."""
+    above = hooks.select("run", F.col("id").alias("up"), F.col("up").alias("_top"))
+    return hooks.join(above, ["run", "up"]).select("run", "id", F.col("_top").alias("up"))
+
+
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(run, id, label): label is the least id connected to id.
 
-    Each round takes the least label among neighbours and then the label of that label,
-    so paths shorten by half or better; every round is checkpointed.
+    Every node points to its least neighbour, pointers are doubled until they end at roots,
+    and the edges are rewritten between roots.  Pointers double and nodes at least halve,
+    so the number of steps grows with the logarithm of the graph; each step is written out.
     """
-    both = cut(edges.select("run", F.col("a").alias("id"), F.col("b").alias("to")).unionByName(
-        edges.select("run", F.col("b").alias("id"), F.col("a").alias("to"))
-    ))
-    labels = cut(nodes.select("run", "id", F.col("id").alias("label")))
-    for _ in range(max_rounds):
-        least = (
-            both.join(labels.select("run", F.col("id").alias("to"), "label"), ["run", "to"])
-            .groupBy("run", "id")
-            .agg(F.min("label").alias("_least"))
-        )
-        stepped = labels.join(least, ["run", "id"], "left").select(
-            "run", "id", F.col("label").alias("_old"), F.least("label", "_least").alias("_new")
-        )
-        of_label = labels.select("run", F.col("id").alias("_new"), F.col("label").alias("_jump"))
-        jumped = cut(
-            stepped.join(of_label, ["run", "_new"], "left").select("run", "id", "_old", F.least("_new", "_jump").alias("label"))
-        )
-        labels = jumped.select("run", "id", "label")
-        if jumped.where(F.col("label") != F.col("_old")).isEmpty():
-            return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    labels = nodes.select("run", "id", F.col("id").alias("label"))
+    rest = cut(edges.distinct())
+    while not rest.isEmpty():
+        both = rest.unionByName(rest.select("run", F.col("b").alias("a"), F.col("a").alias("b")))
+        hooks = cut(both.groupBy("run", F.col("a").alias("id")).agg(F.least(F.min("a"), F.min("b")).alias("up")))
+        while True:
+            twice = _jump(_jump(hooks)).withColumnRenamed("up", "_up")
+            moved = cut(hooks.join(twice, ["run", "id"]).withColumn("moved", F.col("up") != F.col("_up")))
+            hooks = moved.select("run", "id", F.col("_up").alias("up"))
+            if moved.where("moved").isEmpty():
+                break
+        roots = hooks.withColumnRenamed("id", "label")
+        labels = cut(labels.join(roots, ["run", "label"], "left").select("run", "id", F.coalesce("up", "label").alias("label")))
+        ends = {e: hooks.select("run", F.col("id").alias(e), F.col("up").alias(f"_{e}")) for e in ("a", "b")}
+        mapped = rest.join(ends["a"], ["run", "a"]).join(ends["b"], ["run", "b"]).where(F.col("_a") != F.col("_b"))
+        rest = cut(mapped.select("run", F.col("_a").alias("a"), F.col("_b").alias("b")).distinct())
+    return labels
 
 
 def labelled_spots(df: DataFrame, runs: Sequence[tuple[float, int]], key: str = "track", direct_pairs: int = DIRECT_PAIRS) -> DataFrame:
