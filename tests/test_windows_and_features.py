@@ -1,0 +1,114 @@
+"""Hand-worked cases of resampling, windows, features and scoring."""
+
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from keelson.config import Box, Config
+from keelson.operators import currents, features, resample, scoring, windows
+
+CFG = Config()
+
+
+def one_track(spark, rows):
+    data = [(i, 1, t, lat, heading) for i, (t, lat, heading) in enumerate(rows)]
+    return spark.createDataFrame(data, "event_id bigint, track bigint, base_datetime bigint, lat double, heading double")
+
+
+@pytest.mark.parametrize("hot_rows", [1_000_000, 1])
+def test_interpolation_between_messages(spark, hot_rows):
+    rows = one_track(spark, [(0, 0.0, 1.0), (400, 4.0, None), (900, 9.0, 5.0)])
+    out = resample.interpolate(rows, replace(CFG, hot_rows=hot_rows), ("lat", "heading")).orderBy("base_datetime").collect()
+    assert [(r["base_datetime"], round(r["lat"], 9), r["heading"]) for r in out] == [
+        (0, 0, 1.0), (300, 3, None), (600, 6, None), (900, 9, 5.0)
+    ]
+    assert [(r["row_index"], r["row_count"]) for r in out] == [(0, 4), (1, 4), (2, 4), (3, 4)]
+
+
+def test_last_of_two_messages_at_one_time_wins(spark):
+    rows = one_track(spark, [(0, 0.0, None), (300, 1.0, None), (300, 2.0, None), (600, 4.0, None)])
+    out = resample.interpolate(rows, CFG, ("lat",)).orderBy("base_datetime").collect()
+    assert [r["lat"] for r in out] == [0.0, 2.0, 4.0]
+
+
+@pytest.mark.parametrize("n,stride,starts", [(73, 37, [0]), (110, 37, [0, 37]), (72, 37, []), (80, 3, [0, 3, 6])])
+def test_window_starts(spark, n, stride, starts):
+    rows = spark.range(n).select(F.lit(1).alias("track"), (F.col("id") * 300).alias("base_datetime"))
+    out = windows.sliding_windows(rows, 73, stride)
+    got = out.groupBy("window_id").agg(F.min("base_datetime"), F.count(F.lit(1)), F.max("step")).orderBy("window_id")
+    assert [tuple(r)[1:] for r in got.collect()] == [(s * 300, 73, 72) for s in starts]
+
+
+def test_kept_steps():
+    assert windows.x_steps(CFG, 1800) == [0, 6, 12, 18, 24, 30, 36]
+    assert windows.y_steps(CFG, 1800) == [42, 48, 54, 60, 66, 72]
+    assert len(windows.x_steps(CFG, 900)) == 13
+    assert windows.y_steps(CFG, 900) == list(range(39, 73, 3))
+    assert [features.target_index(CFG, h, 1800) for h in (1, 2, 3)] == [1, 3, 5]
+    assert [features.target_index(CFG, h, 900) for h in (1, 2, 3)] == [3, 7, 11]
+
+
+def test_bearings(spark):
+    rows = [(0.0, 0.0), (0.0, 1.0), (1.0, 1.0), (1.0, 0.0)]
+    df = spark.createDataFrame([(1, 0, i, a, b) for i, (a, b) in enumerate(rows)], "track long, window_id long, step int, lat double, lon double")
+    row = features.with_bearing(df).first()
+    assert row["mean_bearing_angle"] == pytest.approx((90 + 0 + 270) / 3, abs=0.01)
+
+
+def test_bins(spark):
+    df = spark.createDataFrame([(3.9, -10.0), (16.0, 61.0)], "sog double, cog double")
+    out = features.with_bins(df, features.BINS[:2]).collect()
+    assert [(r["sog_bin"], r["cog_bin"]) for r in out] == [("[0, 4)", "[-60, 0)"), ("[16+]", "[60, 120)")]
+
+
+def test_normalization_round_trip(spark):
+    df = spark.createDataFrame([(26.5, 7.0, 1.0), (28.0, 7.0, 3.0)], "lat double, sog double, cog double")
+    fitted = features.fit_normalizer(df, Box(26, 29, -85.5, -81.5), (2015, 2019), ["lat", "sog", "cog"])
+    ranges = features.factors(fitted)
+    scaled = features.normalize(df, ranges)
+    assert [r["sog"] for r in scaled.collect()] == [0.0, 0.0]
+    back = features.unnormalize(scaled, ranges).collect()
+    assert [tuple(r) for r in back] == [pytest.approx(tuple(r)) for r in df.collect()]
+
+
+def test_one_hot_round_trip(spark):
+    df = spark.createDataFrame([(1, "cargo"), (2, "tug tow")], "id int, vessel_group string")
+    hot = windows.one_hot(df, windows.learn_levels(df, ["vessel_group"]))
+    assert sorted(map(tuple, features.undo_one_hot(hot, "vessel_group").collect())) == [(1, "cargo"), (2, "tug tow")]
+
+
+@pytest.mark.parametrize("n,kept", [(38, 13), (51, 13), (32, 16)])
+def test_thinning_stride(spark, n, kept):
+    rows = spark.range(n).select(
+        F.col("id").cast("double").alias("latitude"), F.lit(1.0).alias("longitude"), F.lit(1.0).alias("speed")
+    )
+    assert currents.thin_grid(rows).count() == kept
+
+
+def test_weather_grid_masks(spark):
+    cell = "array(named_struct('lat', 1D, 'lon', 10D, 'u', 3S, 'v', 4S))"
+    df = spark.range(2).selectExpr("id", f"{cell} as currents", "id = 1 as weather_is_imputed")
+    frame = spark.sql("select array(2D, 1D) as lats, array(10D) as lons")
+    out = features.weather_grid(df, frame).orderBy("id").collect()
+    assert out[0]["grid"] == [[[3.0, 4.0, 0.0], [0.5, 0.5, 1.0]]]
+    assert out[1]["grid"] == [[[3.0, 4.0, 0.5], [0.5, 0.5, 1.0]]]
+
+
+def test_median_stopping(spark):
+    data = [("a", 0, 1, 4.0), ("a", 0, 2, 2.0), ("b", 0, 1, 2.0), ("b", 0, 2, 2.0)]
+    metrics = spark.createDataFrame(data, "run string, experiment_id int, steps long, loss double")
+    cutoffs = scoring.median_cutoffs(metrics)
+    assert sorted(tuple(r)[1:] for r in cutoffs.collect()) == [(1, 3.0), (2, 2.5)]
+    stops = scoring.stopping_decisions(metrics, cutoffs, every=1).where("stop").select("run", "steps").collect()
+    assert [tuple(r) for r in stops] == [("a", 1)]
+
+
+def test_state_advances_hour_and_day(spark):
+    state = ", ".join(f"named_struct('lat', {i}D, 'lon', 0D, 'hour', {h}, 'day_of_week', 6, 'distance_traveled', 0D)" for i, h in enumerate((22, 23, 23)))
+    df = spark.sql(f"select 1L as track, 0L as window_id, array({state}) as state")
+    out = scoring.advance_state(df, {"lat": F.lit(5.0), "lon": F.lit(0.0)}, 30).first()["state"]
+    # The hour changed between steps 0 and 1; two half-hour steps later it has not yet been an hour.
+    assert [s["hour"] for s in out] == [23, 23, 24 % 24 if 0 + 2 < 3 else 23]
+    assert out[-1]["day_of_week"] == 0
+    assert out[-1]["distance_traveled"] == pytest.approx(4 * 111.195, rel=1e-3)
