@@ -124,11 +124,13 @@ def _bounds(a: str, b: str) -> tuple[Column, Column]:
         h = F.least(F.lit(1.0), x * x + cosines * y * y)
         return 2 * CLUSTER_RADIUS_KM * F.asin(F.sqrt(h))
 
-    # Across the date line the short way round may be nearer, the long way is still a bound.
-    around = F.least(gap("lon"), F.greatest(F.lit(0.0), 360.0 - span("lon")))
+    # Longitudes differ by something from gap to span; beyond 180 degrees the way round is shorter.
+    low, high = gap("lon"), span("lon")
+    nearest = F.least(low, F.greatest(F.lit(0.0), 360.0 - high))
+    farthest = F.when(high <= 180, high).when(low >= 180, 360.0 - low).otherwise(F.lit(180.0))
     return (
-        km(gap("lat"), around, narrowest(a) * narrowest(b)),
-        km(span("lat"), F.least(span("lon"), F.lit(180.0)), widest(a) * widest(b)),
+        km(gap("lat"), nearest, narrowest(a) * narrowest(b)),
+        km(span("lat"), farthest, widest(a) * widest(b)),
     )
 
 
