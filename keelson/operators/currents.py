@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from keelson.config import Box
 from keelson.functions.clock import day_of_month, hour_of, month_of, year_of
+from keelson.functions.storage import cut
 
 # Stamp columns, target grid size, null share beyond which a cell is dropped, scale.
 STAMP = ("year", "month", "day", "hour")
@@ -91,11 +92,15 @@ def join_variables(tables: Sequence[DataFrame]) -> DataFrame:
 
 
 def aggregate_currents(tables: Mapping[str, DataFrame], box: Box) -> DataFrame:
-    """Long tables per variable to one wide table of scaled integers."""
+    """Long tables per variable to one wide table of scaled integers.
+
+    The thinned cells are stored, so listing their names costs no second pass over the
+    full grid.
+    """
     wide = []
     for variable, df in tables.items():
-        cells = drop_sparse(with_coord(thin_grid(currents_bbox(df, box))))
-        wide.append(pivot_currents(scale_int16(cells), variable))
+        thinned = cut(with_coord(thin_grid(currents_bbox(df, box))))
+        wide.append(pivot_currents(scale_int16(drop_sparse(thinned)), variable))
     return join_variables(wide)
 
 

@@ -149,7 +149,7 @@ def _(spark, sf):
 
 
 def holdout(spark, sf):
-    """The reference holds out 1000 of up to 75,000 points; here a proportionate 100."""
+    """The model and its report, with 100 points held out: the tables are small here."""
     return clustering.fit_destination_model(labelled(spark, sf), holdout=100)
 
 
