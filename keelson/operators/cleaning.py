@@ -189,7 +189,7 @@ def speed_outlier_keys(df: DataFrame, cfg: Config, complete: bool = True) -> Dat
     A drop gives its neighbours new neighbours, so passes repeat until one drops nothing.
     Ships are independent: a later pass looks only at ships that lost a row in the one
     before.  The loop carries positions and keys only, and each pass's drops are
-    checkpointed, so a lost executor costs one pass, not the history.
+    written out, so a lost executor costs one pass, not the history.
     """
     rest = with_chunk(df, hot_rows=cfg.hot_rows).select("mmsi", "event_id", "base_datetime", "lat", "lon", CHUNK)
     dropped = None

@@ -113,7 +113,7 @@ def rollout(df: DataFrame, predictor: Callable[[DataFrame], DataFrame], rounds:
     """Predict ``rounds`` steps ahead, feeding each prediction back as input.
 
     Returns (track, window_id, step_index, pred_lat, pred_lon).  Each round's states are
-    checkpointed, so plans stay short however far the horizon.
+    written out, so plans stay short however far the horizon.
     """
     parts, current = [], df
     for index in range(rounds):

@@ -108,7 +108,7 @@ def test_state_advances_hour_and_day(spark):
     state = ", ".join(f"named_struct('lat', {i}D, 'lon', 0D, 'hour', {h}, 'day_of_week', 6, 'distance_traveled', 0D)" for i, h in enumerate((22, 23, 23)))
     df = spark.sql(f"select 1L as track, 0L as window_id, array({state}) as state")
     out = scoring.advance_state(df, {"lat": F.lit(5.0), "lon": F.lit(0.0)}, 30).first()["state"]
-    # The hour changed between steps 0 and 1; two half-hour steps later it has not yet been an hour.
-    assert [s["hour"] for s in out] == [23, 23, 24 % 24 if 0 + 2 < 3 else 23]
+    # The hour changed after step 0; two half-hour steps later the next one is due.
+    assert [s["hour"] for s in out] == [23, 23, 0]
     assert out[-1]["day_of_week"] == 0
     assert out[-1]["distance_traveled"] == pytest.approx(4 * 111.195, rel=1e-3)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keelson.functions.clock import day_of
 from keelson.functions.names import snake_case_columns
 from keelson.operators import cleaning, tracks
 from keelson.plans import clean as plans

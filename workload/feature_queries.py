@@ -11,7 +11,7 @@ from keelson.operators import windows
 from keelson.plans import features as plans
 from workload import inputs
 from workload.inputs import BOX, CFG
-from workload.current_queries import COORDS, long, wide
+from workload.current_queries import long, wide
 from workload.registry import big, cte, haversine_sql, q4, q4_sql, query
 
 KEY_SQL = "track, cast(window_id as bigint) as window_id"
