@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.functions.storage import cut
-from keelson.llm.rows import SPACES, texts_of
+from keelson.llm.rows import SPACES, free_name, row_key, texts_of
 
 PRIME = (1 << 31) - 1
 BASES = (1_000_003, 16_777_619, 1_103_515_245, 2_038_074_743)
@@ -141,11 +141,7 @@ def drop_duplicates(docs: DataFrame) -> DataFrame:
 
 def without(docs: DataFrame, gone: DataFrame, repeated: DataFrame | None = None) -> DataFrame:
     """``docs`` without the rows whose key is in ``gone``; of those whose key is in ``repeated`` one row each."""
-    from keelson.llm.rows import row_key
-
-    key = "_row_key"
-    while key in docs.columns:
-        key = "_" + key
+    key = free_name("_row_key", docs)
     marked = docs.withColumn(key, row_key(docs["doc_id"], docs["text"].cast("string")))
     left = marked.join(gone.select(F.col("row_key").alias(key)), key, "left_anti")
     if repeated is not None and not repeated.isEmpty():

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions.storage import work_folder
-from keelson.llm import bpe, exact_dedup, packing, planes
+from keelson.llm import bpe, exact_dedup, near_dedup, packing, planes, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -61,3 +61,13 @@ def token_planes(spark, sf_dir):
 @query("op6_bpe_round_trip")
 def bpe_round_trip(spark, sf_dir):
     return bpe.round_trip_query(documents(spark, sf_dir))
+
+
+@query("op2_near_dedup")
+def near(spark, sf_dir):
+    return near_dedup.find_classes(documents(spark, sf_dir)).select("doc_id", "class_id", "kept", "n_words")
+
+
+@query("op10_substring_dedup")
+def repeats(spark, sf_dir):
+    return substring.digests(substring.find_repeats(documents(spark, sf_dir)))

@@ -20,6 +20,13 @@ def names_of(ddl: str) -> list[str]:
     return [field.split()[0] for field in ddl.split(",")]
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name``, with underscores before it until no frame has such a column."""
+    while any(name.lower() == c.lower() for f in frames for c in f.columns):
+        name = "_" + name
+    return name
+
+
 def row_key(doc_id: Column, text: Column) -> Column:
     """16 bytes that name a row by its id and text, null or not; rows that agree in both share it."""
     return F.unhex(F.md5(F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.when(text.isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), text))).cast("binary")))
@@ -47,7 +54,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """All words ``[^\\x20\\x09-\\x0D]+`` of the texts in order, and how many each text has; null texts have none."""
-    parts = pc.ascii_split_whitespace(pc.fill_null(texts, "").cast(pa.large_string()))
+    parts = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
     sizes = pc.list_value_length(parts).to_numpy(zero_copy_only=False)
     flat = pc.list_flatten(parts)
     real = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
