@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions.storage import work_folder
-from keelson.llm import bpe, exact_dedup, near_dedup, packing, planes, substring
+from keelson.llm import bpe, exact_dedup, gam, near_dedup, packing, planes, rules, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,6 +28,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
 EXACT_SQL = r"""
 with d as (
   select doc_id, length(coalesce(text, '')) as n_chars, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') as norm
@@ -71,3 +75,13 @@ def near(spark, sf_dir):
 @query("op10_substring_dedup")
 def repeats(spark, sf_dir):
     return substring.digests(substring.find_repeats(documents(spark, sf_dir)))
+
+
+@query("op1_quality_rules")
+def quality_rules(spark, sf_dir):
+    return rules.apply_rules(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query("op7_quality_model")
+def quality_model(spark, sf_dir):
+    return gam.classify(documents(spark, sf_dir), labels(spark, sf_dir))
