@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.functions.storage import cut
-from keelson.llm.rows import SPACES, free_name, row_key, texts_of
+from keelson.llm.rows import SPACES, free_name, row_key, sliced, texts_of
 
 PRIME = (1 << 31) - 1
 BASES = (1_000_003, 16_777_619, 1_103_515_245, 2_038_074_743)
@@ -72,19 +72,19 @@ def fingerprints(docs: DataFrame, bases: Sequence[int] = BASES, prime: int = PRI
     rows = texts_of(docs).withColumn("rid", F.monotonically_increasing_id()).withColumn("norm", normalised(F.col("text")).cast("binary"))
     digest = F.sha2("norm", 256) if sha256 else F.lit(None).cast("string")
     rows = rows.select("rid", "row_key", "doc_id", F.char_length("text").cast("long").alias("n_chars"), F.octet_length("norm").cast("long").alias("n_bytes"), digest.alias("text_sha256"), "norm")
-    names = [f"h{i}" for i in range(len(bases))]
+    hashes = [f"h{i}" for i in range(len(bases))]
     keys = ["rid", "row_key", "doc_id", "n_chars", "n_bytes", "text_sha256"]
     chunks = with_chunks(rows, chunk_bytes).select(*keys, "chunk_no", "chunk")
-    schema = T.StructType([*chunks.select(keys).schema.fields, *(T.StructField(n, T.LongType()) for n in names)])
+    schema = T.StructType([*chunks.select(keys).schema.fields, *(T.StructField(n, T.LongType()) for n in hashes)])
+    names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                end = (batch.column("chunk_no").to_numpy().astype(np.int64) + 1) * chunk_bytes
-                after = np.maximum(0, batch.column("n_bytes").to_numpy() - end)
-                yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *map(pa.array, chunk_hashes(batch.column("chunk"), after, bases, prime))], names=schema.names)
+        for batch in sliced(batches, "chunk"):
+            end = (batch.column("chunk_no").to_numpy().astype(np.int64) + 1) * chunk_bytes
+            after = np.maximum(0, batch.column("n_bytes").to_numpy() - end)
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), *map(pa.array, chunk_hashes(batch.column("chunk"), after, bases, prime))], names=names)
 
-    return chunks.mapInArrow(run, schema).groupBy(*keys).agg(*((F.sum(n) % prime).alias(n) for n in names))
+    return chunks.mapInArrow(run, schema).groupBy(*keys).agg(*((F.sum(n) % prime).alias(n) for n in hashes))
 
 
 def _groups(rows: DataFrame, by: list[str]) -> DataFrame:
