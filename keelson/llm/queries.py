@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from keelson.functions.storage import work_folder
-from keelson.llm import bpe, exact_dedup, gam, near_dedup, packing, planes, rules, substring
+from keelson.llm import bpe, chat, exact_dedup, gam, html_main, near_dedup, packing, planes, rules, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,3 +86,17 @@ def quality_rules(spark, sf_dir):
 @query("op7_quality_model")
 def quality_model(spark, sf_dir):
     return gam.classify(documents(spark, sf_dir), labels(spark, sf_dir))
+
+
+@query("op8_html_main_text")
+def html_main_text(spark, sf_dir):
+    found = html_main.extract(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"))
+
+
+@query("op9_chat_repair")
+def chat_repair(spark, sf_dir):
+    return chat.render(chat.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
