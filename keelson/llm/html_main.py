@@ -4,7 +4,7 @@ A page is read into a tree of its block elements.  Every node has C characters a
 them in links, and the density  C / T * log(C / LC * T / LT) / log(log(C * LC / (C - LC) + C * LCb / Cb + e)),
 characters per tag made smaller by links (b: the body; zeros count as one).  The sum of its children's densities
 tells a container of dense blocks from a block.  The node with the largest sum is the content, the least density on
-its path to the body is the threshold, and blocks of that density elsewhere are content too.  Elements that are
+its path up to the body is the threshold, and blocks of that density elsewhere are content too.  Elements that are
 furniture by their tag, role or class (menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
 styles, reader comments) are never content.  Where a page marks its ``article`` or ``main``, the search stays inside
 it and the content found is widened to all of it, so that short headings and lines of the article are not lost.
@@ -215,7 +215,7 @@ def main_text(page: str | None) -> str:
     sums = {id(x): sum(y.density for y in x.children if not y.furniture) for x in real}
     best = max(reversed(real), key=lambda x: sums[id(x)] or x.density * 1e-9)  # of equals the innermost
     threshold, node = best.density, best
-    while node.parent is not None and node.parent.density:
+    while node.parent is not None and node.parent.tag not in ("html", "body"):
         node = node.parent
         threshold = min(threshold, node.density)
     outer = _inside(best, marks) if marks else None

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+import keelson
 from keelson.functions.storage import work_folder
 from keelson.llm import bpe, chat, exact_dedup, gam, html_main, near_dedup, packing, planes, rules, substring
 
@@ -15,9 +20,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package along as a zip file, once a session, so that workers import it wherever they start."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        root = Path(keelson.__file__).parents[1]
+        folder = Path(tempfile.mkdtemp(prefix="keelson-"))  # the driver's own; addPyFile hands the file out
+        with zipfile.ZipFile(folder / "keelson.zip", "w") as archive:
+            for file in sorted((root / "keelson").rglob("*.py")):
+                archive.write(file, file.relative_to(root))
+        context.addPyFile(str(folder / "keelson.zip"))
+        _SHIPPED.add(context.applicationId)
+
+
 def query(name: str, sql: str | None = None):
     def register(function):
-        QUERIES[name] = function
+        @functools.wraps(function)
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return function(spark, sf_dir)
+
+        QUERIES[name] = shipped
         if sql is not None:
             ORACLES[name] = sql
         return function
