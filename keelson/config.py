@@ -25,9 +25,7 @@ VESSEL_GROUPS = (
 STATUSES = ("under way sailing", "under way using engine", "undefined")
 CURRENT_VARIABLES = ("water_u", "water_v")
 CATEGORICAL_COLUMNS = ("vessel_group", "destination_cluster")
-CLUSTER_SAMPLE_CAP = 75_000
 CLUSTER_SAMPLE_SEED = "4148846"
-HEAD_SAMPLE_SEQUENCES = 10_240
 
 
 @dataclass(frozen=True)
@@ -80,9 +78,8 @@ class Config:
     validation_fraction: float = 0.2
     seed: str = "0"
     window_movement: int = 15 * 60
-    # Rows of one ship-day beyond which that day is cut into finer pieces.
+    # Rows of one vessel-day beyond which that day is cut into finer pieces.
     hot_rows: int = 1_000_000
-    max_rounds: int = 50
 
     @property
     def window_length(self) -> int:

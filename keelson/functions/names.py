@@ -2,23 +2,37 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import DataFrame
 
-# Spelling repairs made before renaming.
-RENAMES = {"TranscieverClass": "TransceiverClass", "BaseDateTime": "BaseDatetime"}
-_WORD_EDGES = (r"(.)([A-Z][a-z]+)", r"__([A-Z])", r"([a-z0-9])([A-Z])")
-_WITH_BREAK = (r"\1_\2", r"_\1", r"\1_\2")
+# The raw message columns, the misspelt one included, and their names from here on.
+NAMES = {
+    "MMSI": "mmsi",
+    "BaseDateTime": "base_datetime",
+    "BaseDatetime": "base_datetime",
+    "LAT": "lat",
+    "LON": "lon",
+    "SOG": "sog",
+    "COG": "cog",
+    "Heading": "heading",
+    "VesselName": "vessel_name",
+    "IMO": "imo",
+    "CallSign": "call_sign",
+    "VesselType": "vessel_type",
+    "Status": "status",
+    "Length": "length",
+    "Width": "width",
+    "Draft": "draft",
+    "Cargo": "cargo",
+    "TransceiverClass": "transceiver_class",
+    "TranscieverClass": "transceiver_class",
+}
 
 
 def to_snake_case(name: str) -> str:
-    """``VesselType`` -> ``vessel_type``; runs of capitals stay one word."""
-    for edge, broken in zip(_WORD_EDGES, _WITH_BREAK):
-        name = re.sub(edge, broken, name)
-    return name.lower()
+    """The name of a raw column; one that messages do not have is only put in lower case."""
+    return NAMES.get(name, name.lower())
 
 
 def snake_case_columns(df: DataFrame) -> DataFrame:
-    """Rename every column to snake case after repairing the known misspellings."""
-    return df.toDF(*[to_snake_case(RENAMES.get(c, c)) for c in df.columns])
+    """Rename every raw column."""
+    return df.toDF(*[to_snake_case(c) for c in df.columns])

@@ -8,12 +8,13 @@ inside it are ever formed.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keelson.config import CLUSTER_SAMPLE_CAP, CLUSTER_SAMPLE_SEED
+from keelson.config import CLUSTER_SAMPLE_SEED
 from keelson.functions.cells import CELL, radius_candidates, with_cell, with_ring
 from keelson.functions.geo import CLUSTER_RADIUS_KM, haversine
 from keelson.functions.ordered import rank_in_buckets, shuffled_rank
@@ -31,7 +32,7 @@ def final_messages(df: DataFrame) -> DataFrame:
     return rows.withColumns({"lat_rad": F.radians("lat"), "lon_rad": F.radians("lon")})
 
 
-def cap_sample(df: DataFrame, n: int = CLUSTER_SAMPLE_CAP, seed: str = CLUSTER_SAMPLE_SEED, key: str = "track") -> DataFrame:
+def cap_sample(df: DataFrame, n: int, seed: str = CLUSTER_SAMPLE_SEED, key: str = "track") -> DataFrame:
     """Exactly n rows by a seeded digest of the key, or all rows if there are fewer."""
     return shuffled_rank(df, seed, F.col(key)).where(F.col("rank") <= n).drop("rank", "total")
 
@@ -62,7 +63,8 @@ def knn_distance_curve(
     The distance is to neighbour m - 1, the point itself counting as the first.  Points
     with equal distance share a row covering their ranks, so the curve is whole however
     many ties there are.  Each pass looks within a radius and settles the points that have
-    enough neighbours inside it; the others go on with twice the radius.
+    enough neighbours inside it; the others go on with twice the radius.  Points that have
+    too few neighbours within ``max_radius`` come first, with a null distance.
     """
     spots = cut(_spots(df, key))
     wanted = spots.select("lat", "lon", "w", F.explode(F.array(*[F.lit(m) for m in min_pts])).alias("min_pts"))
@@ -87,6 +89,8 @@ def knn_distance_curve(
         if radius >= max_radius or open_spots.isEmpty():
             break
         radius = min(radius * 2, max_radius)
+    endless = open_spots.select("lat", "lon", "w", "min_pts", F.lit(float("inf")).alias("km"))
+    settled = settled.select("lat", "lon", "w", "min_pts", "km").unionByName(endless)
     distances = settled.groupBy("min_pts", "km").agg(F.sum("w").alias("n"))
     metre = -F.floor(F.col("km") * 1000)
     buckets = distances.groupBy("min_pts", metre.alias("_metre")).agg(F.sum("n").alias("_n"))
@@ -95,7 +99,7 @@ def knn_distance_curve(
     inside = Window.partitionBy("min_pts", "_metre").orderBy(F.desc("km")).rowsBetween(Window.unboundedPreceding, 0)
     ranked = distances.withColumn("_metre", metre).withColumn("_upto", F.sum("n").over(inside)).join(bases, ["min_pts", "_metre"])
     last = F.col("_base") + F.col("_upto")
-    return ranked.select("min_pts", (last - F.col("n") + 1).alias("first_rank"), last.alias("last_rank"), "km")
+    return ranked.select("min_pts", (last - F.col("n") + 1).alias("first_rank"), last.alias("last_rank"), F.when(F.col("km") < float("inf"), F.col("km")).alias("km"))
 
 
 def _bounds(a: str, b: str) -> tuple[Column, Column]:
@@ -308,7 +312,7 @@ def cluster_bbox(df: DataFrame, by: Sequence[str] = ("cluster",)) -> DataFrame:
     boxes = df.where(F.col("cluster") != -1).groupBy(*by).agg(
         *[f(c).alias(f"{n}_{c}") for c in ("lat", "lon") for n, f in (("min", F.min), ("max", F.max))],
         F.count(F.lit(1)).alias("n"),
-        F.count_distinct("mmsi").alias("ships"),
+        F.count_distinct("mmsi").alias("vessels"),
     )
     lat, lon = F.col("min_lat"), F.col("min_lon")
     width = haversine(lat, lon, lat, F.col("max_lon"))
@@ -324,7 +328,7 @@ def cluster_metrics(labelled: DataFrame) -> DataFrame:
     )
     sizes = boxes.groupBy(*RUN).agg(
         F.count(F.lit(1)).alias("n_clusters"), F.max("n").alias("_largest"), F.avg("n").alias("mean_size"),
-        F.avg("ships").alias("mean_ships"), F.avg("sq_km").alias("mean_sq_km"),
+        F.avg("vessels").alias("mean_vessels"), F.avg("sq_km").alias("mean_sq_km"),
     )
     joined = totals.join(sizes, list(RUN), "left")
     share = F.col("_all").cast("double")
@@ -336,7 +340,7 @@ def cluster_metrics(labelled: DataFrame) -> DataFrame:
         (F.coalesce("_largest", F.lit(0)) / share).alias("largest_share"),
         (F.col("mean_size") / share).alias("mean_cluster_share"),
         "mean_size",
-        "mean_ships",
+        "mean_vessels",
         "mean_sq_km",
     )
 
@@ -388,36 +392,50 @@ def assign_destination_nearest(df: DataFrame, labelled: DataFrame, eps_km: float
     return df.join(found, ["lat", "lon"], "left").withColumn("cluster", F.coalesce("cluster", F.lit(-1)).cast("bigint"))
 
 
-def fit_destination_model(labelled: DataFrame, holdout: int = 1000, seed: str = "83845640"):
+def fit_destination_model(labelled: DataFrame, holdout: int = 1000, seed: str = "83845640", fit_rows: int = 1_000_000):
     """(model, report): a random forest from position to cluster, scored on held-out rows.
 
-    The report has the rows tested, the correct ones and the wrong ones involving noise.
+    ``holdout`` rows are kept from the fit, and of the others at most ``fit_rows`` are fitted on, both drawn by a
+    seeded digest of the track; a table without more than ``holdout`` rows raises.  Any number of clusters is
+    allowed; trees are 25 deep up to 100 clusters and lose a level each time that number doubles, as every node
+    keeps a count per cluster.  The report has the rows tested, the correct ones, their share, and the wrong ones
+    involving noise.  The model adds ``cluster_name``, the predicted cluster as text.
     """
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
 
     rows = shuffled_rank(labelled, seed, F.col("track"))
-    rows = cut(rows.select("track", "lat", "lon", (F.col("cluster") + 1).cast("double").alias("label"), "rank"))
+    rows = cut(rows.select("track", "lat", "lon", F.col("cluster").cast("string").alias("name"), "rank"))
+    fitted = rows.where((F.col("rank") > holdout) & (F.col("rank") <= holdout + fit_rows))
+    if fitted.isEmpty():
+        raise ValueError(f"{holdout} rows are held out and none is left to fit on")
+    names = StringIndexer(inputCol="name", outputCol="label", handleInvalid="keep").fit(rows)
+    depth = 25 - max(0, math.ceil(math.log2(len(names.labels) / 100)))
     forest = RandomForestClassifier(
-        numTrees=100, maxDepth=25, subsamplingRate=0.8, featureSubsetStrategy="all", impurity="gini",
+        numTrees=100, maxDepth=depth, subsamplingRate=0.8, featureSubsetStrategy="all", impurity="gini",
         labelCol="label", featuresCol="features", seed=int(seed),
     )
-    steps = Pipeline(stages=[VectorAssembler(inputCols=["lat", "lon"], outputCol="features"), forest])
-    model = steps.fit(rows.where(F.col("rank") > holdout))
+    back = IndexToString(inputCol="prediction", outputCol="cluster_name", labels=[*names.labels, "-1"])
+    steps = Pipeline(stages=[names, VectorAssembler(inputCols=["lat", "lon"], outputCol="features"), forest, back])
+    model = steps.fit(fitted)
     tested = model.transform(rows.where(F.col("rank") <= holdout))
-    right = F.col("prediction") == F.col("label")
+    right = F.col("cluster_name") == F.col("name")
     report = tested.agg(
         F.count(F.lit(1)).alias("tested"),
         F.count_if(right).alias("correct"),
-        F.count_if(~right & ((F.col("prediction") == 0) | (F.col("label") == 0))).alias("wrong_with_noise"),
+        F.avg(right.cast("double")).alias("accuracy"),
+        F.count_if(~right & ((F.col("cluster_name") == "-1") | (F.col("name") == "-1"))).alias("wrong_with_noise"),
     )
     return model, report
 
 
 def assign_destination(df: DataFrame, model, centers: DataFrame) -> DataFrame:
-    """Every row of a track gets the cluster predicted for its last row, and that cluster's center."""
-    last = model.transform(final_messages(df).select("track", "lat", "lon"))
-    predicted = last.select("track", (F.col("prediction") - 1).cast("bigint").alias("cluster")).join(centers, "cluster")
+    """Every row of a track gets the cluster predicted for its last row, and that cluster's center.
+
+    No row is lost: a cluster without a center has null coordinates, a track without a prediction a null cluster.
+    """
+    last = model.transform(final_messages(df).select("track", "lat", "lon", F.lit(None).cast("string").alias("name")))
+    predicted = last.select("track", F.col("cluster_name").cast("bigint").alias("cluster")).join(centers, "cluster", "left")
     named = predicted.withColumn("destination_cluster", F.col("cluster").cast("string")).drop("cluster")
-    return df.join(named, "track")
+    return df.join(named, "track", "left")

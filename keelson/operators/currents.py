@@ -188,12 +188,12 @@ def append_currents(df: DataFrame, stamps: DataFrame) -> DataFrame:
 def pack_currents(u: DataFrame, v: DataFrame) -> DataFrame:
     """One row per stamp with ``currents``: the cells as an array of (lat, lon, u, v).
 
-    The array holds one entry per kept cell, a few hundred at most; it is the compact form
+    A cell with only one of u and v keeps it.  The array holds one entry per kept cell, a few hundred at most; it is the compact form
     feature building uses in place of hundreds of columns.
     """
     names = ["latitude", "longitude", *STAMP]
     both = u.withColumnRenamed("speed", "u").select(*names, "u").join(
-        v.withColumnRenamed("speed", "v").select(*names, "v"), names
+        v.withColumnRenamed("speed", "v").select(*names, "v"), names, "full"
     )
     cell = F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), "u", "v")
     return both.groupBy(*STAMP).agg(F.array_sort(F.collect_list(cell)).alias("currents"))

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keelson.config import CATEGORICAL_COLUMNS, HEAD_SAMPLE_SEQUENCES, Box, Config
+from keelson.config import CATEGORICAL_COLUMNS, Box, Config
 from keelson.functions.clock import local_stamp
 from keelson.functions.geo import bearing, haversine
 from keelson.functions.ordered import shuffled_rank
@@ -53,11 +53,11 @@ def select_history(df: DataFrame, cfg: Config, hours: float, gap: int) -> DataFr
 
 
 def target_index(cfg: Config, hours_out: float, gap: int) -> int:
-    """Which of the future steps lies ``hours_out`` ahead for a model predicting one step."""
-    future = cfg.future + 1
-    steps = int(future * (cfg.step / gap))
-    hours = int(cfg.step * future / 3600)
-    return int(hours_out / hours * steps) - 1
+    """Which of the future steps at a time gap lies ``hours_out`` ahead; one beyond the windows raises."""
+    index = round(hours_out * 3600 / gap) - 1
+    if not 0 <= index < len(y_steps(cfg, gap)):
+        raise ValueError(f"no future step {hours_out} hours ahead at a gap of {gap} seconds")
+    return index
 
 
 def select_target(df: DataFrame, cfg: Config, gap: int, hours_out: float, model: str = "direct", test: bool = False):
@@ -429,18 +429,19 @@ def select_targets(df: DataFrame, model: str = "direct", sog_cog: str = "raw") -
     return df.select(*KEY, *axis, *columns)
 
 
-def head_sample(df: DataFrame, n: int = HEAD_SAMPLE_SEQUENCES) -> DataFrame:
+def head_sample(df: DataFrame, n: int) -> DataFrame:
     """The first n windows in key order: small inputs for debugging."""
     first = df.select(*KEY).distinct().orderBy(*KEY).limit(n)
     return df.join(first, list(KEY), "left_semi")
 
 
-def epoch_batches(df: DataFrame, size: int, seed: str, epoch: int = 0) -> DataFrame:
-    """Shuffle windows for an epoch and number them into full batches; the remainder is left out."""
+def epoch_batches(df: DataFrame, size: int, seed: str, epoch: int = 0, drop_remainder: bool = False) -> DataFrame:
+    """Shuffle windows for an epoch and number them into batches; the last may be smaller, or is left out if asked for."""
     key = F.concat_ws("|", *KEY)
     ranked = shuffled_rank(df.select(*KEY).distinct(), f"{seed}|{epoch}", key)
+    numbered = ranked.withColumn("batch", F.floor((F.col("rank") - 1) / size))
     full = F.floor(F.col("total") / size)
-    return ranked.withColumn("batch", F.floor((F.col("rank") - 1) / size)).where(F.col("batch") < full).drop("rank", "total")
+    return (numbered.where(F.col("batch") < full) if drop_remainder else numbered).drop("rank", "total")
 
 
 def dataset_shapes(df: DataFrame, features: int, by: Sequence[str] = ("dataset",)) -> DataFrame:

@@ -14,8 +14,7 @@ from keelson.functions.storage import cut
 
 KEY = ("track", "window_id")
 # Horizons in minutes counted from the common start, and the epochs between stopping checks.
-HORIZON_MINUTES = (120, 180, 240)
-COMMON_START_MINUTES = 60
+HORIZON_HOURS = (1, 2, 3)
 CHECK_EVERY = 30
 _EPOCHS_PER_CHUNK = 4096
 
@@ -26,7 +25,10 @@ def haversine_error(
     ranges: Mapping[str, tuple[float, float]],
     keys: Sequence[str] = (*KEY, "step"),
 ) -> DataFrame:
-    """Error in km of each prediction; both sides are normalized lat/lon."""
+    """Error in km of each prediction; both sides are normalized lat/lon.
+
+    A prediction without a truth, or a truth without a prediction, keeps its row with a null error.
+    """
 
     def degrees(side, name):
         low, high = ranges[name]
@@ -35,14 +37,12 @@ def haversine_error(
     p = pred.select(*keys, F.col("lat").alias("pred_lat"), F.col("lon").alias("pred_lon"))
     t = truth.select(*keys, F.col("lat").alias("true_lat"), F.col("lon").alias("true_lon"))
     km = haversine(degrees("true", "lat"), degrees("true", "lon"), degrees("pred", "lat"), degrees("pred", "lon"))
-    return p.join(t, list(keys)).withColumn("error_km", km)
+    return p.join(t, list(keys), "full").withColumn("error_km", km)
 
 
 def horizon_steps(gap_minutes: float) -> dict[int, int]:
     """Hour ahead -> index of the future step it is scored at."""
-    return {
-        (m - COMMON_START_MINUTES) // 60: int((m - COMMON_START_MINUTES) / gap_minutes) - 1 for m in HORIZON_MINUTES
-    }
+    return {hours: int(hours * 60 / gap_minutes) - 1 for hours in HORIZON_HOURS}
 
 
 def horizon_errors(df: DataFrame, gap_minutes: float, by: Sequence[str] = ()) -> DataFrame:
@@ -51,7 +51,7 @@ def horizon_errors(df: DataFrame, gap_minutes: float, by: Sequence[str] = ()) ->
     for ahead, index in horizon_steps(gap_minutes).items():
         hour = F.when(F.col("step_index") == index, F.lit(ahead)).otherwise(hour)
     scored = df.withColumn("hour", hour).where(F.col("hour").isNotNull())
-    return scored.groupBy(*by, "hour").agg(F.avg("error_km").alias("mean_km"), F.count(F.lit(1)).alias("n"))
+    return scored.groupBy(*by, "hour").agg(F.avg("error_km").alias("mean_km"), F.count("error_km").alias("n"))
 
 
 def mean_error(df: DataFrame, metric: str = "haversine") -> DataFrame:
@@ -179,4 +179,4 @@ def stopping_decisions(metrics: DataFrame, cutoffs: DataFrame, every: int = CHEC
 
 def evaluation_summary(df: DataFrame) -> DataFrame:
     """Mean error per split and hour ahead."""
-    return df.groupBy("split", "hour").agg(F.avg("error_km").alias("mean_km"), F.count(F.lit(1)).alias("n"))
+    return df.groupBy("split", "hour").agg(F.avg("error_km").alias("mean_km"), F.count("error_km").alias("n"))

@@ -22,8 +22,8 @@ def _usable(df: DataFrame, cfg: Config) -> DataFrame:
 def attribute_rules(df: DataFrame, cfg: Config, vessel_dim: DataFrame, status_dim: DataFrame) -> DataFrame:
     """Every repair and filter that needs one row only; all of it runs inside the scan stage."""
     repaired = cleaning.repair_negatives(cleaning.null_unknown_heading(df))
-    ships = cleaning.filter_valid_mmsi(repaired)
-    grouped = cleaning.filter_vessel_groups(cleaning.assign_vessel_group(ships, vessel_dim), cfg.vessel_groups)
+    vessels = cleaning.filter_valid_mmsi(repaired)
+    grouped = cleaning.filter_vessel_groups(cleaning.assign_vessel_group(vessels, vessel_dim), cfg.vessel_groups)
     moving = cleaning.filter_statuses(cleaning.assign_status(grouped, status_dim), cfg.statuses)
     return cleaning.drop_unneeded(moving).drop("status_code")
 
@@ -39,7 +39,7 @@ def clean_tracks(df: DataFrame, cfg: Config) -> DataFrame:
 
 
 def _per_group(df: DataFrame, group: str) -> DataFrame:
-    """Make ships of different groups different ships; undone by :func:`_as_before`."""
+    """Make vessels of different groups different vessels; undone by :func:`_as_before`."""
     return df.withColumn("_ship", F.col("mmsi")).withColumn(
         "mmsi", F.concat_ws("/", F.col(group).cast("string"), F.col("mmsi"))
     )

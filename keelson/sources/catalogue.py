@@ -7,10 +7,9 @@ from pyspark.sql import functions as F
 
 from keelson.functions.geo import utm_zone
 
-# Years published per zone and month, years published per day, name pattern.
+# Years published per zone and month, years published per day.
 ZONE_YEARS = (2015, 2016, 2017)
 DAY_YEARS = (2018, 2019, 2020, 2021)
-SPECIFIER_PATTERN = r"[0-9]{4}.+AIS_([0-9]{4})_([0-9]{2})_(Zone)?([0-9]{2}|\*)\.(.+)"
 
 
 def zones_of_box(df: DataFrame, lat_1: str, lon_1: str, lat_2: str, lon_2: str) -> DataFrame:
@@ -69,12 +68,28 @@ def missing_partitions(expected: DataFrame, present: DataFrame) -> DataFrame:
 
 
 def parse_specifier(df: DataFrame, column: str) -> DataFrame:
-    """Split a file path into year, month, zone_or_day and extension; an unknown form raises."""
+    """Split a file path into year, month, zone_or_day and extension; an unknown form raises.
+
+    The last part of the path is ``AIS_year_month_place.extension`` below some folder; the place is a day, ``Zone``
+    and a zone, or ``*``.
+    """
     path = F.col(column)
-    message = F.concat(F.lit("unknown file name: "), path)
-    checked = F.when(path.rlike(SPECIFIER_PATTERN), path).otherwise(F.raise_error(message).cast("string"))
-    part = {"year": 1, "month": 2, "zone_or_day": 4, "extension": 5}
-    return df.withColumns({n: F.regexp_extract(checked, SPECIFIER_PATTERN, i) for n, i in part.items()})
+    file = F.element_at(F.split(path, "/"), -1)
+    stem = F.substring_index(file, ".", 1)
+    piece = [F.get(F.split(stem, "_"), F.lit(i)) for i in range(5)]
+    place = F.when(piece[3].startswith("Zone"), F.substr(piece[3], F.lit(5))).otherwise(piece[3])
+    extension = F.substr(file, F.length(stem) + 2)
+
+    def digits(value, n: int):
+        return (F.length(value) == n) & F.translate(value, "0123456789", "").eqNullSafe("")
+
+    known = (
+        (F.size(F.split(path, "/")) > 1) & (piece[0] == "AIS") & piece[4].isNull() & (extension != "")
+        & digits(piece[1], 4) & digits(piece[2], 2) & (digits(place, 2) | (place == "*"))
+    )
+    bad = F.raise_error(F.concat(F.lit("unknown file name: "), path)).cast("string")
+    parts = {"year": piece[1], "month": piece[2], "zone_or_day": place, "extension": extension}
+    return df.withColumns({n: F.when(path.isNull(), None).when(known, c).otherwise(bad) for n, c in parts.items()})
 
 
 def partition_time_bounds(df: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ def test_registry_is_consistent():
     queries, oracles = entry_module.queries(), entry_module.oracle_sql()
     assert set(oracles) <= set(queries)
     own = {name for name in queries if not name.startswith("op") and name != "pipeline"}
-    assert own - set(oracles) == {"save_dataset", "save_predictions", "destination_classifier", "assign_destination"}
+    assert own <= set(oracles)
 
 
 def test_flagship_runs(spark):

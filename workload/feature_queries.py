@@ -435,8 +435,8 @@ def _(spark, sf):
 @query(
     "epoch_batches",
     f"""select track, cast(window_id as bigint) as window_id, cast(batch as bigint) as batch from (
-      select track, window_id, (row_number() over (order by md5('7|3|' || track || '|' || window_id), track || '|' || window_id) - 1) // 64 as batch, count(*) over () as n
-      from (select distinct track, window_id from train_window_rows)) where batch < n // 64""",
+      select track, window_id, (row_number() over (order by md5('7|3|' || track || '|' || window_id), track || '|' || window_id) - 1) // 64 as batch
+      from (select distinct track, window_id from train_window_rows))""",
 )
 def _(spark, sf):
     rows = windows.train_windows(inputs.resampled(spark, sf), CFG)

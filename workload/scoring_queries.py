@@ -141,10 +141,18 @@ def by_hour(spark, sf):
     return errors(spark, sf).where(F.col("step_index") <= 2).withColumn("hour", F.col("step_index") + 1)
 
 
-@query("save_predictions")
+@query(
+    "save_predictions",
+    f"""select {KEY_SQL}, split, cast(step_index + 1 as bigint) as hour, {q4_sql('pred_lat')} as pred_lat, {q4_sql('pred_lon')} as pred_lon,
+      {q4_sql('error_km')} as error_km from errors where step_index <= 2""",
+)
 def _(spark, sf):
     columns = [*scoring.KEY, "split", "hour", "pred_lat", "pred_lon", "error_km"]
-    return save_predictions(by_hour(spark, sf).select(*columns), work_folder(spark, "predictions"))
+    saved = save_predictions(by_hour(spark, sf).select(*columns), work_folder(spark, "predictions"))
+    degrees = {f"pred_{n}": F.col(f"pred_{n}") * (high - low) + low for n, (low, high) in RANGES.items()}
+    return saved.select(
+        *key(False), "split", *big("hour"), *[q4(c).alias(n) for n, c in degrees.items()], q4(F.col("error_km")).alias("error_km")
+    )
 
 
 cte(

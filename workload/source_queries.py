@@ -160,10 +160,10 @@ def _(spark, sf):
 )
 def _(spark, sf):
     m = inputs.messages(spark, sf)
-    ships = m.join(F.broadcast(vessel_dim(spark)), F.col("vessel_type").cast("int").cast("string") == F.col("type_text"))
+    vessels = m.join(F.broadcast(vessel_dim(spark)), F.col("vessel_type").cast("int").cast("string") == F.col("type_text"))
     states = m.join(F.broadcast(status_dim(spark)), F.lower("status") == F.col("status_text"))
     return (
-        ships.groupBy(F.lit("vessel").alias("dim"), F.col("type_text").alias("code"), F.col("vessel_group").alias("text"))
+        vessels.groupBy(F.lit("vessel").alias("dim"), F.col("type_text").alias("code"), F.col("vessel_group").alias("text"))
         .agg(F.count(F.lit(1)).alias("n"))
         .unionByName(
             states.groupBy(
@@ -230,11 +230,15 @@ def _(spark, sf):
     return currents.margin_slice(axis, 27.5, 27.5, 1.0)
 
 
-@query("save_dataset")
+@query(
+    "save_dataset",
+    """select track, mmsi, event_id, base_datetime, lat, lon, sog, cog, heading, vessel_group, count(*) over () as n_written
+      from long_rows""",
+)
 def _(spark, sf):
     rows = inputs.long_tracks(spark, sf).drop("_chunk")
     saved, n = sinks.save_split(rows, work_folder(spark, "split"))
-    return saved.withColumn("n_written", F.lit(n))
+    return saved.withColumn("n_written", F.lit(n).cast("bigint"))
 
 
 FEATURES = ["base_datetime", "lat", "lon", "sog", "cog"]
