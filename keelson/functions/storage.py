@@ -6,11 +6,16 @@ executors share.  Only a local-mode session may fall back to a folder of its own
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Folders made inside each open :func:`stages` block, innermost last.
+_OPEN: list[list[str]] = []
+
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The session's checkpoint folder; a local-mode session without one gets a private one."""
@@ -44,4 +49,25 @@ def cut(df: DataFrame) -> DataFrame:
 
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder name below the checkpoint folder, for a stage's output."""
-    return f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def stages(spark: SparkSession) -> Iterator[list[str]]:
+    """Own the stage folders made inside the block, and remove them at its end.
+
+    Write or collect the result inside: what is read after the block must not depend on a stage.
+    """
+    folders: list[str] = []
+    _OPEN.append(folders)
+    try:
+        yield folders
+    finally:
+        _OPEN.remove(folders)
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(hadoop).delete(path, True)

@@ -134,44 +134,59 @@ def _bags(texts: DataFrame) -> DataFrame:
 
 
 def _links(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (a, b) whose weighted Jaccard similarity is ``threshold`` or more."""
+    """The rows of ``pairs`` (a, b, ...) whose weighted Jaccard similarity is ``threshold`` or more."""
     left = pairs.join(bags.select(F.col("node").alias("a"), F.col("bag").alias("bag_a")), "a")
     both = left.join(bags.select(F.col("node").alias("b"), F.col("bag").alias("bag_b")), "b")
     sizes = F.size("bag_a") + F.size("bag_b")
     fits = F.least(F.size("bag_a"), F.size("bag_b")) >= threshold * F.greatest(F.size("bag_a"), F.size("bag_b"))
     shared = F.size(F.array_intersect("bag_a", "bag_b"))
-    return both.where(fits).where(shared >= threshold * (sizes - shared)).select("a", "b")
+    return both.where(fits).where(shared >= threshold * (sizes - shared)).select(*pairs.columns)
+
+
+def _merged(links: DataFrame) -> DataFrame:
+    """(label, to): the pivots' labels and those linked to them, brought to the least label of each star."""
+    stars = links.groupBy("a_label").agg(F.least(F.min("b_label"), F.col("a_label")).alias("to"))
+    others = links.select("a_label", F.col("b_label").alias("label")).join(stars, "a_label").select("label", "to")
+    return others.unionByName(stars.withColumnRenamed("a_label", "label")).groupBy("label").agg(F.min("to").alias("to"))
 
 
 def _classes(live: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
-    """(node, label) of the nodes in buckets (bucket, node); label is the least node of the class."""
-    labels = live.select("node").distinct().withColumn("label", F.col("node"))
-    turn = 0
+    """(node, label) of the nodes in buckets (bucket, node) that a link joins; label is the least node of the class.
+
+    The labels carried along say which nodes are known to be connected, and spare comparisons; the classes are the
+    components of all links found.
+    """
+    live = live.withColumn("label", F.col("node"))
+    links, turn = None, 0
     while True:
-        labelled = live.join(labels, "node")
-        per_class = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-        buckets = per_class.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_classes"), F.max(F.struct("n", (-F.col("label")).alias("minus"))).alias("top"))
-        open_buckets = cut(buckets.where("n_classes > 1").select("bucket", "n", (-F.col("top.minus")).alias("top")))
-        if open_buckets.isEmpty():
-            return labels
         draw = F.xxhash64("node", F.lit(turn)).bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52)
-        members = cut(labelled.join(open_buckets, "bucket").withColumn("draw", draw))
-        # The lowest draw of the largest class, and about 2 ** turn members beside it.
-        lead = members.where("label = top").groupBy("bucket").agg(F.min_by("node", F.struct("draw", "node")).alias("pivot"))
-        drawn = members.where(F.col("draw") * F.col("n") < (2.0**turn if turn else 0.0)).select("bucket", F.col("node").alias("pivot"))
-        pivots = cut(lead.unionByName(drawn).distinct())
-        of_pivot = pivots.join(labels.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label")), "pivot")
-        facing = members.select("bucket", "node", "label").join(of_pivot, "bucket").where("label <> pivot_label")
-        pairs = cut(facing.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
-        linked = cut(_links(pairs, bags, threshold))
-        named = linked.join(labels.select(F.col("node").alias("a"), F.col("label").alias("la")), "a").join(labels.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b")
-        edges = cut(named.select(F.lit(0).alias("run"), F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b")).where("a <> b").distinct())
-        if not edges.isEmpty():
-            ends = edges.select("run", F.col("a").alias("id")).union(edges.select("run", F.col("b").alias("id"))).distinct()
-            merged = components(ends, edges).select(F.col("id").alias("label"), F.col("label").alias("merged"))
-            labels = cut(labels.join(merged, "label", "left").select("node", F.coalesce("merged", "label").alias("label")))
-        live = cut(members.select("bucket", "node").join(pivots.withColumnRenamed("pivot", "node"), ["bucket", "node"], "left_anti"))
+        drawn = live.withColumn("draw", draw)
+        per_class = drawn.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("draw", "node")).alias("lead"))
+        top = F.max(F.struct("n", (-F.col("label")).alias("minus"), "lead")).alias("top")
+        buckets = per_class.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_classes"), top).where("n_classes > 1")
+        buckets = cut(buckets.select("bucket", "n", (-F.col("top.minus")).alias("lead_label"), F.col("top.lead.node").alias("lead")))
+        if buckets.isEmpty():
+            break
+        # The lowest draw of the largest class leads, and about 2 ** turn members beside it are pivots as well.
+        members = drawn.join(buckets, "bucket")
+        extra = F.col("draw") * F.col("n") < (2.0**turn if turn else 0.0)
+        facing = members.select("node", "label", F.col("lead").alias("pivot"), F.col("lead_label").alias("pivot_label"))
+        if turn:
+            members = cut(members)
+            pivots = members.where(extra).select("bucket", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
+            facing = facing.unionByName(members.join(pivots, "bucket").select(*facing.columns))
+        facing = facing.where("label <> pivot_label")
+        pairs = cut(facing.select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("pivot_label").alias("a_label"), F.col("label").alias("b_label")).distinct())
+        found = cut(_links(pairs, bags, threshold))
+        links = found if links is None else links.unionByName(found)
+        left = members.where((F.col("node") != F.col("lead")) & ~extra).select("bucket", "node", "label")
+        live = cut(left.join(_merged(found), "label", "left").select("bucket", "node", F.coalesce("to", "label").alias("label")))
         turn += 1
+    if links is None:
+        return live.select("node", "label")
+    edges = links.select(F.lit(0).alias("run"), F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    ends = edges.select("run", F.col("a").alias("id")).union(edges.select("run", F.col("b").alias("id"))).distinct()
+    return components(ends, edges).select(F.col("id").alias("node"), "label")
 
 
 def find_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:

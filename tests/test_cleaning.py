@@ -111,6 +111,16 @@ def test_split_of_tracks_is_whole_and_sized(spark):
     assert sorted(map(tuple, out.collect())) == [("train", 80, 800), ("valid", 20, 200)]
 
 
+def test_speed_rule_runs_until_nothing_drops(spark):
+    """Each pass drops one row only: the next jump is seen when its neighbour is gone."""
+    n = 70
+    rows = [("1", i, 60 * i, 0.0 if i == 0 else 1.0 + 0.02 * (n - i), 0.0) for i in range(n)]
+    df = spark.createDataFrame(rows, "mmsi string, event_id long, base_datetime long, lat double, lon double")
+    left = cleaning.speed_outliers(df, CFG).count()
+    again = cleaning.speed_outliers(cleaning.speed_outliers(df, CFG).drop("_chunk"), CFG).count()
+    assert left == again < n
+
+
 def test_snake_case():
     cases = {"BaseDatetime": "base_datetime", "TransceiverClass": "transceiver_class", "MMSI": "mmsi", "VesselType": "vessel_type"}
     assert {k: to_snake_case(k) for k in cases} == cases

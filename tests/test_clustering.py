@@ -92,3 +92,22 @@ def test_nearest_core_wins(spark):
     for spot, row in zip(spots, out):
         km = distances(np.concatenate([[spot], cores]))[0, 1:]
         assert row["cluster"] == (names[km.argmin()] if km.min() <= 2.0 else -1)
+
+
+def test_destination_model_takes_many_clusters_and_loses_no_row(spark):
+    rows = [(i, str(i), 0, 1.0 * (i % 150), 2.0 * (i % 150), i % 150 - 1, i) for i in range(900)]
+    points = spark.createDataFrame(rows, "track long, mmsi string, base_datetime long, lat double, lon double, cluster long, event_id long")
+    model, report = clustering.fit_destination_model(points, holdout=100)
+    found = report.first()
+    assert found["tested"] == 100 and found["accuracy"] == found["correct"] / 100
+    centers = clustering.cluster_centers(points).where("cluster <> 3")
+    out = clustering.assign_destination(points.drop("cluster"), model, centers)
+    assert out.count() == 900 and out.where("destination_cluster = '3' and destination_cluster_lat_center is not null").isEmpty()
+    with pytest.raises(ValueError, match="held out"):
+        clustering.fit_destination_model(points, holdout=900)
+
+
+def test_points_without_enough_neighbours_stay_in_the_curve(spark):
+    points = spark.createDataFrame([(1, 0.0, 0.0), (2, 0.0, 0.01), (3, 60.0, 0.0)], "track long, lat double, lon double")
+    curve = clustering.knn_distance_curve(points, (2, 3), 1.0, max_radius=50.0).collect()
+    assert sorted((r["min_pts"], r["first_rank"], r["last_rank"], r["km"] is None) for r in curve) == [(2, 1, 3, False), (3, 1, 1, True), (3, 2, 3, False)]

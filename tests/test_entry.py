@@ -3,6 +3,7 @@
 import __spark_entry__ as entry_module
 from pyspark.sql import functions as F
 
+from keelson.functions.storage import stages
 from keelson.operators import cleaning, windows
 from workload import inputs
 
@@ -40,3 +41,13 @@ def test_windows_of_resampled_rows_need_no_shuffle(spark):
 def test_no_window_takes_a_whole_ship(spark):
     text = plan(cleaning.drop_stationary(inputs.attribute_filtered(spark, SF), inputs.CFG))
     assert "_chunk" in text and "CartesianProduct" not in text and "SinglePartition" not in text
+
+
+def test_stage_folders_go_with_their_block(spark):
+    with stages(spark) as folders:
+        entry_module.queries()["clean_partition"](spark, SF).count()
+        assert folders
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        assert not path.getFileSystem(hadoop).exists(path)
