@@ -11,6 +11,16 @@ from keelson.config import Config
 from keelson.functions.ordered import with_chunk, with_position
 
 
+#: Rows to a block of a track, in window lengths: one row in so many goes to two blocks.
+_BLOCK_LENGTHS = 8
+
+
+def _positioned(df: DataFrame, tie: str = "base_datetime") -> DataFrame:
+    if "row_index" in df.columns:
+        return df
+    return with_position(with_chunk(df, ["track"], tie=tie), ["track"], ["base_datetime", tie])
+
+
 def sliding_windows(df: DataFrame, length: int, stride: int, tie: str = "base_datetime") -> DataFrame:
     """Copy each row into every window of ``length`` consecutive rows that covers it.
 
@@ -18,8 +28,7 @@ def sliding_windows(df: DataFrame, length: int, stride: int, tie: str = "base_da
     and ``step`` (position in the window).  With ``row_index`` and ``row_count`` present, as
     after resampling, this is a plain explode: no shuffle, no sort.
     """
-    if "row_index" not in df.columns:
-        df = with_position(with_chunk(df, ["track"], tie=tie), ["track"], ["base_datetime", tie])
+    df = _positioned(df, tie)
     row, rows = F.col("row_index"), F.col("row_count")
     first = F.ceil(F.greatest(F.lit(0), row - (length - 1)) / stride).cast("bigint")
     last = F.floor(F.least(row, rows - length) / stride).cast("bigint")
@@ -95,12 +104,45 @@ def select_y_steps(df: DataFrame, cfg: Config, gap: int) -> DataFrame:
     return df.where((F.col("step") >= first) & ((F.col("step") - first) % stride == 0))
 
 
+def gathered_windows(df: DataFrame, cfg: Config, features: Sequence[str]) -> DataFrame:
+    """One row per window of every dataset: (dataset, track, window_id, sequence), sequence = steps x features of doubles.
+
+    The same windows as :func:`window_datasets`, from rows that are shuffled once and before they are copied: a track
+    is cut into blocks of some window lengths, each with the first rows of the block behind it, and the windows that
+    begin in a block are slices of it.
+    """
+    length, span = cfg.window_length, _BLOCK_LENGTHS * cfg.window_length
+    own = F.floor(F.col("row_index") / span).cast("bigint")
+    ahead = (F.col("row_index") % span < length - 1) & (own > 0)
+    values = F.array(*[F.col(f).cast("double") for f in features]).alias("values")
+    rows = _positioned(df).select(
+        "track", "split", "row_count", F.struct(F.col("row_index").cast("bigint").alias("at"), values).alias("row"),
+        F.explode(F.when(ahead, F.array(own, own - 1)).otherwise(F.array(own))).alias("block"),
+    )
+    blocks = rows.groupBy("track", "split", "row_count", "block").agg(F.array_sort(F.collect_list("row")).alias("rows"))
+    blocks = blocks.withColumn("rows", F.transform("rows", lambda r: r["values"]))
+    begin = F.col("block") * span
+
+    def starting_here(stride: int, kind: str, *splits: str):
+        first = F.ceil(begin / stride).cast("bigint")
+        last = F.floor(F.least(begin + span - 1, F.col("row_count") - length) / stride).cast("bigint")
+        ids = F.when(F.col("split").isin(*splits) & (F.col("row_count") >= length) & (last >= first), F.sequence(first, last))
+        dataset = F.concat("split", F.lit(f"_long_term_{kind}"))
+        found = F.transform(ids, lambda w: F.struct(
+            dataset.alias("dataset"), w.alias("window_id"), F.slice("rows", (w * stride - begin + 1).cast("int"), F.lit(length)).alias("sequence")
+        ))
+        return F.coalesce(found, F.array().cast("array<struct<dataset: string, window_id: bigint, sequence: array<array<double>>>>"))
+
+    both = F.concat(starting_here(cfg.train_stride, "train", "train", "valid"), starting_here(cfg.history, "test", "valid", "test"))
+    return blocks.select("track", F.inline(both)).select("dataset", "track", "window_id", "sequence")
+
+
 def tensor_parts(df: DataFrame, cfg: Config, features: Sequence[str]) -> DataFrame:
     """X and Y sequences of every time gap: (dataset, time_gap, x_or_y, track, window_id, sequence).
 
-    Each window is gathered once; the parts are picked from the gathered steps.
+    ``df`` has the resampled rows.  They are shuffled once; the parts are picked from each window's steps.
     """
-    whole = to_sequences(df, features, ("dataset", "track", "window_id"))
+    whole = gathered_windows(df, cfg, features)
     parts = []
     for gap in cfg.time_gaps:
         for name, steps in (("x", x_steps(cfg, gap)), ("y", y_steps(cfg, gap))):

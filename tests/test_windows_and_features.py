@@ -112,3 +112,16 @@ def test_state_advances_hour_and_day(spark):
     assert [s["hour"] for s in out] == [23, 23, 0]
     assert out[-1]["day_of_week"] == 0
     assert out[-1]["distance_traveled"] == pytest.approx(4 * 111.195, rel=1e-3)
+
+
+def test_gathered_windows_are_the_exploded_ones_after_one_shuffle(spark):
+    cfg = replace(CFG, history=4, future=3, step=300, window_movement=900)
+    rows = []
+    for track, (n, split) in enumerate([(7, "train"), (8, "valid"), (300, "valid"), (129, "train"), (130, "test")]):
+        rows += [(track, split, i, n, 300 * i, float(i), float(track)) for i in range(n)]
+    df = spark.createDataFrame(rows, "track long, split string, row_index long, row_count long, base_datetime long, lat double, lon double")
+    got = windows.gathered_windows(df, cfg, ["lat", "lon"])
+    want = windows.to_sequences(windows.window_datasets(df, cfg), ["lat", "lon"], ("dataset", "track", "window_id"))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
+    text = windows.tensor_parts(df, replace(cfg, time_gaps=(300, 600)), ["lat"])._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning") == 1

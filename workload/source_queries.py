@@ -246,8 +246,7 @@ FEATURES = ["base_datetime", "lat", "lon", "sog", "cog"]
 
 def tensors(spark, sf):
     """Test and train windows of every dataset as X and Y sequences per time gap."""
-    rows = windows.window_datasets(inputs.resampled(spark, sf), CFG)
-    return windows.tensor_parts(rows, CFG, FEATURES)
+    return windows.tensor_parts(inputs.resampled(spark, sf), CFG, FEATURES)
 
 
 cte(
