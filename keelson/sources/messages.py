@@ -35,12 +35,35 @@ MESSAGE_SCHEMA = T.StructType(
 IDENTITY_COLUMNS = ("VesselName", "IMO", "CallSign")
 
 
-def read_messages(spark: SparkSession, path, file_format: str = "csv") -> DataFrame:
-    """Raw messages with fixed types; nothing is inferred from the data."""
-    reader = spark.read.schema(MESSAGE_SCHEMA)
-    if file_format == "csv":
-        return reader.option("header", True).csv(path)
-    return reader.format(file_format).load(path)
+#: Other spellings of raw columns.
+_SPELLINGS = {"transcieverclass": "TransceiverClass"}
+
+
+def read_messages(spark: SparkSession, path, file_format: str = "csv", bad_record: str | None = None) -> DataFrame:
+    """Raw messages with fixed types; nothing is inferred from the data.
+
+    CSV columns go by the name in the header, in any order and either spelling; a file set without some column has
+    nulls there, one with an unknown column raises, and so does a file whose header differs from the others'.  A line
+    that does not fit the types raises when it is read, or with ``bad_record`` is kept as text in a column of that name.
+    """
+    if file_format != "csv":
+        return spark.read.schema(MESSAGE_SCHEMA).format(file_format).load(path)
+    known = {f.name.lower(): f for f in MESSAGE_SCHEMA.fields}
+    header = spark.read.option("header", True).csv(path).columns
+    names = {c: _SPELLINGS.get(c.strip().lower(), c.strip()) for c in header}
+    strange = [c for c, n in names.items() if n.lower() not in known]
+    if strange:
+        raise ValueError(f"unknown columns {strange} in {path}")
+    fields = [T.StructField(c, known[names[c].lower()].dataType) for c in header]
+    reader = spark.read.option("header", True)
+    if bad_record:
+        schema = T.StructType([*fields, T.StructField(bad_record, T.StringType())])
+        rows = reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad_record).csv(path)
+    else:
+        rows = reader.schema(T.StructType(fields)).option("mode", "FAILFAST").option("enforceSchema", False).csv(path)
+    found = {known[names[c].lower()].name: F.col(f"`{c}`") for c in header}
+    columns = [found.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in MESSAGE_SCHEMA.fields]
+    return rows.select(*columns, *([bad_record] if bad_record else []))
 
 
 def bbox_filter(df: DataFrame, box: Box, lat: str = "LAT", lon: str = "LON") -> DataFrame:

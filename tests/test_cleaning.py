@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from keelson.config import Config
 from keelson.functions.names import to_snake_case
 from keelson.operators import cleaning, resample, tracks
-from keelson.sources import catalogue
+from keelson.sources import catalogue, messages
 
 CFG = Config()
 NM_IN_DEGREES = 1 / (6371.0088 * 0.539956803 * math.pi / 180)
@@ -132,3 +132,20 @@ def test_unknown_file_names_and_years_raise(spark):
     years = spark.createDataFrame([(2014,)], "year int")
     with pytest.raises(Exception, match="no file layout"):
         catalogue.expected_partitions(years, spark.createDataFrame([(10,)], "zone int"), "zip").collect()
+
+
+def test_messages_are_read_by_header(spark, tmp_path):
+    def file(name, *lines):
+        (tmp_path / name).write_text("\n".join(lines) + "\n")
+        return str(tmp_path / name)
+
+    good = file("a.csv", "LAT,MMSI,TranscieverClass,BaseDateTime", "1.5,201,A,2017-01-01T00:00:00")
+    row = messages.read_messages(spark, good).first()
+    assert (row["MMSI"], row["LAT"], row["TransceiverClass"], row["Cargo"], row["LON"]) == ("201", 1.5, "A", None, None)
+    bad = file("b.csv", "LAT,MMSI", "x,202", "2.5,203")
+    with pytest.raises(Exception, match="MALFORMED|BAD_RECORD|FAILFAST|FAILED_READ"):
+        messages.read_messages(spark, bad).collect()
+    kept = messages.read_messages(spark, bad, bad_record="bad").orderBy("MMSI").collect()
+    assert [(r["MMSI"], r["LAT"], r["bad"]) for r in kept] == [("202", None, "x,202"), ("203", 2.5, None)]
+    with pytest.raises(ValueError, match="unknown columns"):
+        messages.read_messages(spark, file("c.csv", "LAT,Depth", "1,2"))
