@@ -7,11 +7,11 @@ its own weights and below a rank chosen so that about k (ln k + 2) darts remain,
 coordinates; if a coordinate stays empty the rank is doubled.  Two documents agree in a coordinate with the
 probability of their weighted Jaccard similarity.  The work is one hash an element and then one a dart.
 
-Signatures are joined by bands.  Texts with the same words share one unit.  In each bucket a few pivots are compared
-with all members of other classes, by their whole weighted sets; classes that a pair of ``threshold`` or more links
-are merged, buckets within one class are done, pivots are retired, and their number doubles from round to round until
-no bucket is open.  So every pair that shares a bucket is either compared or already in one class, a large group of
-near copies settles in a few rounds of about its own size, and no bucket is capped.
+Signatures are joined by bands.  Texts with the same words share one unit.  A bucket whose members are not all
+in one class yet is cut into blocks of bounded size, and every two blocks of it are compared by their whole weighted
+sets: a row with all others at once, until the rest is in one class, so that a large group of near copies settles
+after a few of its members.  What leaves a comparison is a star of links for each class found, never all its pairs.
+Every pair that shares a bucket is compared or already in one class, and no bucket is capped.
 
 Texts of fewer than five words have all their words as one shingle; texts without words are equal to one another and
 to nothing else.  Null text counts as empty; null ids come last; the representative of a class is its least id (then
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,8 @@ SHINGLE_WORDS = 5
 THRESHOLD = 0.8
 #: 24 bands of 5 coordinates: a pair of similarity 0.8 shares a bucket with probability 0.9999, one of 0.3 with 0.06.
 BANDS, ROWS = 24, 5
+#: Weight cells (shingles with their copies) to a block of a bucket; two blocks are compared in one task.
+BLOCK_CELLS = 1_000_000
 _GOLDEN = 0x9E3779B97F4A7C15
 
 
@@ -133,74 +136,105 @@ def _bags(texts: DataFrame) -> DataFrame:
     return texts.select("node", "text").mapInArrow(run, schema)
 
 
-def _links(pairs: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
-    """The rows of ``pairs`` (a, b, ...) whose weighted Jaccard similarity is ``threshold`` or more."""
-    left = pairs.join(bags.select(F.col("node").alias("a"), F.col("bag").alias("bag_a")), "a")
-    both = left.join(bags.select(F.col("node").alias("b"), F.col("bag").alias("bag_b")), "b")
-    sizes = F.size("bag_a") + F.size("bag_b")
-    fits = F.least(F.size("bag_a"), F.size("bag_b")) >= threshold * F.greatest(F.size("bag_a"), F.size("bag_b"))
-    shared = F.size(F.array_intersect("bag_a", "bag_b"))
-    return both.where(fits).where(shared >= threshold * (sizes - shared)).select(*pairs.columns)
+def linked_groups(cells: np.ndarray, sizes: np.ndarray, labels: np.ndarray, threshold: float) -> np.ndarray:
+    """The rows of a block by class: rows that a chain of links or equal labels joins get one number.
+
+    One row after the other is compared with all rows at once, those outside the largest class first, until the rows
+    not yet compared are of one class; so no link between two classes can be missed.
+    """
+    _, codes = np.unique(cells, return_inverse=True)
+    starts = np.cumsum(sizes) - sizes
+    group = np.unique(labels, return_inverse=True)[1]
+    marked = np.zeros(int(codes.max(initial=-1)) + 1, np.int64)
+    waiting = np.ones(len(sizes), bool)
+    while True:
+        names, counts = np.unique(group[waiting], return_counts=True)
+        if len(names) < 2:
+            return group
+        row = int(np.flatnonzero(waiting & (group != names[np.argmax(counts)]))[0])
+        mine = codes[starts[row] : starts[row] + sizes[row]]
+        marked[mine] = 1
+        shared = np.add.reduceat(marked[codes], starts)
+        marked[mine] = 0
+        alike = shared >= threshold * (sizes + sizes[row] - shared)
+        group[np.isin(group, group[alike])] = group[row]
+        waiting[row] = False
+
+
+def _links(members: DataFrame, threshold: float) -> DataFrame:
+    """(a, b, a_label, b_label): links that join the labels met in a block, each class as a star around its least label.
+
+    ``members`` has (bucket, i, j, node, label, bag), a group being two blocks of a bucket, of bounded size.
+    """
+    schema = "a long, b long, a_label long, b_label long"
+    names = names_of(schema)
+
+    def run(group: pa.Table) -> pa.Table:
+        node, label = (group.column(c).to_numpy() for c in ("node", "label"))
+        bags = group.column("bag").combine_chunks()
+        sizes = pc.list_value_length(bags).to_numpy()
+        found = linked_groups(pc.list_flatten(bags).to_numpy(), sizes, label, threshold)
+        order = np.lexsort((node, label, found))
+        node, label, found = node[order], label[order], found[order]
+        first = np.ones(len(found), bool)
+        first[1:] = found[1:] != found[:-1]
+        new = np.ones(len(found), bool)
+        new[1:] = first[1:] | (label[1:] != label[:-1])
+        head = np.flatnonzero(first)[np.cumsum(first) - 1]
+        some = new & ~first
+        return pa.table([pa.array(x, pa.int64()) for x in (node[head[some]], node[some], label[head[some]], label[some])], names=names)
+
+    return members.groupBy("bucket", "i", "j").applyInArrow(run, schema)
 
 
 def _merged(links: DataFrame) -> DataFrame:
-    """(label, to): the pivots' labels and those linked to them, brought to the least label of each star."""
+    """(label, to): labels linked to a star's label, brought to the least label of each star."""
     stars = links.groupBy("a_label").agg(F.least(F.min("b_label"), F.col("a_label")).alias("to"))
     others = links.select("a_label", F.col("b_label").alias("label")).join(stars, "a_label").select("label", "to")
     return others.unionByName(stars.withColumnRenamed("a_label", "label")).groupBy("label").agg(F.min("to").alias("to"))
 
 
-def _classes(live: DataFrame, bags: DataFrame, threshold: float) -> DataFrame:
-    """(node, label) of the nodes in buckets (bucket, node) that a link joins; label is the least node of the class.
+def _classes(live: DataFrame, bags: DataFrame, threshold: float, block_cells: int = BLOCK_CELLS) -> DataFrame:
+    """(node, label) of the nodes in buckets (node, band, bucket) that a link joins; label is the least node of the class.
 
     The labels carried along say which nodes are known to be connected, and spare comparisons; the classes are the
-    components of all links found.
+    components of all links found.  The first turn looks at one band, the second at three: most of a large group is in
+    one class by then, and its buckets in the other bands need no comparison.
     """
-    live = live.withColumn("label", F.col("node"))
-    links, turn = None, 0
-    while True:
-        draw = F.xxhash64("node", F.lit(turn)).bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52)
-        drawn = live.withColumn("draw", draw)
-        per_class = drawn.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("draw", "node")).alias("lead"))
-        top = F.max(F.struct("n", (-F.col("label")).alias("minus"), "lead")).alias("top")
-        buckets = per_class.groupBy("bucket").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_classes"), top).where("n_classes > 1")
-        buckets = cut(buckets.select("bucket", "n", (-F.col("top.minus")).alias("lead_label"), F.col("top.lead.node").alias("lead")))
-        if buckets.isEmpty():
-            break
-        # The lowest draw of the largest class leads, and about 2 ** turn members beside it are pivots as well.
-        members = drawn.join(buckets, "bucket")
-        extra = F.col("draw") * F.col("n") < (2.0**turn if turn else 0.0)
-        facing = members.select("node", "label", F.col("lead").alias("pivot"), F.col("lead_label").alias("pivot_label"))
-        if turn:
-            members = cut(members)
-            pivots = members.where(extra).select("bucket", F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
-            facing = facing.unionByName(members.join(pivots, "bucket").select(*facing.columns))
-        facing = facing.where("label <> pivot_label")
-        pairs = cut(facing.select(F.col("pivot").alias("a"), F.col("node").alias("b"), F.col("pivot_label").alias("a_label"), F.col("label").alias("b_label")).distinct())
-        found = cut(_links(pairs, bags, threshold))
+    labels = cut(bags.select("node", F.col("node").alias("label"), F.size("bag").alias("cells")))
+    links = None
+    for low, high in ((0, 1), (1, 4), (4, 1 << 30)):
+        active = live.where((F.col("band") >= low) & (F.col("band") < high)).join(labels, "node")
+        buckets = active.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.sum("cells").alias("cells"))
+        blocks = F.ceil(F.col("cells") / block_cells).cast("int").alias("blocks")
+        open_buckets = cut(buckets.where("lo < hi").select("bucket", blocks))
+        if open_buckets.isEmpty():
+            continue
+        mine = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+        cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(F.least(mine, k).alias("i"), F.greatest(mine, k).alias("j")))
+        members = active.join(open_buckets, "bucket").select("bucket", "node", "label", F.inline(cells))
+        found = cut(_links(members.join(bags, "node"), threshold).distinct())
         links = found if links is None else links.unionByName(found)
-        left = members.where((F.col("node") != F.col("lead")) & ~extra).select("bucket", "node", "label")
-        live = cut(left.join(_merged(found), "label", "left").select("bucket", "node", F.coalesce("to", "label").alias("label")))
-        turn += 1
+        labels = cut(labels.join(_merged(found), "label", "left").select("node", F.coalesce("to", "label").alias("label"), "cells"))
     if links is None:
-        return live.select("node", "label")
+        return labels.select("node", "label").limit(0)
     edges = links.select(F.lit(0).alias("run"), F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     ends = edges.select("run", F.col("a").alias("id")).union(edges.select("run", F.col("b").alias("id"))).distinct()
     return components(ends, edges).select(F.col("id").alias("node"), "label")
 
 
-def find_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+def find_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS, block_cells: int = BLOCK_CELLS) -> DataFrame:
     """One row per row of ``docs``: row_key, doc_id, n_words, class_id (id of the class's representative), class_key, kept."""
     scanned = cut(scan(docs, bands, rows).withColumn("node", F.monotonically_increasing_id()))
     copies = cut(word_copies(scanned))
     units = scanned.join(copies.select("row_key"), "row_key", "left_anti")
-    banded = units.select("node", F.explode("bands").alias("bucket"))
+    banded = units.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = cut(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"))
     live = cut(banded.join(shared, "bucket"))
     keys = live.select("node").distinct().join(scanned.select("node", "row_key"), "node")
     texts = texts_of(docs).select("row_key", "text").join(keys, "row_key")
     bags = cut(_bags(texts).dropDuplicates(["node"]))
-    labels = _classes(live, bags, threshold)
+    labels = _classes(live, bags, threshold, block_cells)
 
     of_unit = units.select("node", "row_key", "rank_id", "doc_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     of_unit = cut(of_unit.select("label", "row_key", "rank_id", "doc_id"))

@@ -100,8 +100,8 @@ def test_a_large_family_of_near_copies_is_one_class(spark):
     assert all(r["class_id"] == r["doc_id"] for r in got if r["doc_id"] >= 1000)
 
 
-def test_links_below_the_pivot_are_not_lost(spark):
-    """A chain whose ends are unlike: every link counts, whichever pivots are drawn."""
+def test_links_along_a_chain_are_not_lost(spark):
+    """A chain whose ends are unlike: every link counts, in whichever block it is found."""
     base = prose(10, 200).split()
     rows, text = [], list(base)
     for i in range(40):
@@ -111,8 +111,9 @@ def test_links_below_the_pivot_are_not_lost(spark):
             text[(i * 5 + k) % 200] = f"c{i}_{k}"
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     want, _ = brute_classes([{"doc_id": i, "text": t} for i, t in rows])
-    got = {r["doc_id"]: r["class_id"] for r in near_dedup.find_classes(docs, bands=60, rows=3).collect()}
-    assert got == dict(enumerate(want))
+    for block_cells in (near_dedup.BLOCK_CELLS, 700):  # buckets in one block, and in many
+        got = {r["doc_id"]: r["class_id"] for r in near_dedup.find_classes(docs, bands=60, rows=3, block_cells=block_cells).collect()}
+        assert got == dict(enumerate(want))
 
 
 def test_signatures_estimate_weighted_similarity():
