@@ -145,15 +145,18 @@ def find_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     kept_text holds the kept words joined by blanks where some words go and others stay, and is null elsewhere;
     words_sha is the SHA-256 of all words joined by blanks.
     """
-    scanned = cut(scan(docs, window))
+    scanned = cut(scan(docs, window).withColumn("unit", F.monotonically_increasing_id()))
     copies = cut(word_copies(scanned.where(F.col("n_words") >= window)))
-    anchors = scanned.where(F.size("anchors") > 0).join(copies.select("row_key"), "row_key", "left_anti")
-    seen = anchors.select("rank_id", F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.min("rank_id").alias("least"), F.max("rank_id").alias("most"))
+    anchors = scanned.where(F.size("anchors") > 0)
+    # An anchor counts as shared if two texts of different words have it: copies need no look at all.
+    text_id = F.xxhash64("words_sha").alias("text_id")
+    seen = anchors.select(text_id, F.explode("anchors").alias("anchor")).groupBy("anchor").agg(F.min("text_id").alias("least"), F.max("text_id").alias("most"))
     shared = cut(seen.where("least < most").select("anchor"))
-    found = anchors.select("row_key", "rank_id", F.posexplode("anchors").alias("nth", "anchor")).join(shared, "anchor")
-    flagged = found.groupBy("row_key", "rank_id").agg(F.collect_set("nth").alias("shared"))
+    found = anchors.select("unit", F.posexplode("anchors").alias("nth", "anchor")).join(shared, "anchor")
+    flagged = cut(found.groupBy("unit").agg(F.collect_set("nth").alias("shared")))
+    named = flagged.join(scanned.select("unit", "row_key", "rank_id"), "unit").join(copies.select("row_key"), "row_key", "left_anti")
     texts = texts_of(docs).select("row_key", "text")
-    suspects = cut(flagged.join(texts, "row_key").dropDuplicates(["row_key"]).withColumn("unit", F.monotonically_increasing_id()))
+    suspects = cut(named.join(texts, "row_key").dropDuplicates(["row_key"]))
     windows = _candidate_windows(suspects, window)
     least = windows.groupBy("w0", "w1").agg(F.min("rank_id").alias("least"), F.max("rank_id").alias("most"))
     least = cut(least.where("least < most").drop("most"))
@@ -162,7 +165,7 @@ def find_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
 
     alike = copies.select("row_key", "unit_key", "unit_id")
     whole = F.col("unit_id").isNotNull() & (F.col("rank_id") > F.col("unit_id"))
-    rows = scanned.drop("anchors").join(alike, "row_key", "left")
+    rows = scanned.drop("anchors", "unit").join(alike, "row_key", "left")
     rows = rows.select("row_key", "doc_id", "n_words", "words_sha", whole.alias("whole"), F.coalesce("unit_key", "row_key").alias("unit_key"))
     joined = rows.join(removed.withColumnRenamed("row_key", "unit_key"), "unit_key", "left")
     all_words = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("n_words").alias("end")))
