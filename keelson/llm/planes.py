@@ -42,19 +42,20 @@ def to_planes(ids: np.ndarray, level: int = LEVEL) -> list[bytes]:
 
     pack = zstandard.ZstdCompressor(level=level, write_checksum=True)
     bits = int(ids.max()).bit_length() if len(ids) else 0
-    return [pack.compress(np.packbits(((ids >> np.uint32(k)) & np.uint32(1)).astype(np.uint8), bitorder="little").tobytes()) for k in range(bits)]
+    octets = np.ascontiguousarray(np.ascontiguousarray(ids, "<u4").view(np.uint8).reshape(-1, 4).T)
+    return [pack.compress(np.packbits(octets[k >> 3] & np.uint8(1 << (k & 7)), bitorder="little").tobytes()) for k in range(bits)]
 
 
 def from_planes(planes: bytes, sizes: np.ndarray, n_ids: int) -> np.ndarray:
     import zstandard
 
     unpack = zstandard.ZstdDecompressor()
-    ids, at = np.zeros(n_ids, np.uint32), 0
+    octets, at = np.zeros((4, n_ids), np.uint8), 0
     for k, size in enumerate(sizes):
         plane = np.frombuffer(unpack.decompress(planes[at : at + size]), np.uint8)
-        ids |= np.unpackbits(plane, count=n_ids, bitorder="little").astype(np.uint32) << np.uint32(k)
+        octets[k >> 3] |= np.unpackbits(plane, count=n_ids, bitorder="little") << np.uint8(k & 7)
         at += int(size)
-    return ids
+    return np.ascontiguousarray(octets.T).reshape(-1).view("<u4")
 
 
 def _block(shard: int, number: int, first: int, ids: np.ndarray, docs: dict[str, np.ndarray], level: int) -> dict:

@@ -153,13 +153,17 @@ class TextEncoder:
         if len(self.parts.slot) > self.remembered:
             self.parts = _Pool()
         known, old = self.words.slot, self.older.slot
-        back = [w for w in words if w not in known and w in old]
-        if back:
-            self.words.add(back, *self.older.read(np.fromiter((old[w] for w in back), np.int64, len(back))))
-        new = [w for w in words if w not in known]
-        if new:
-            self._learn(new)
-        return np.fromiter((known[w] for w in words), np.int64, len(words))
+        slots = [known.get(w, -1) for w in words]
+        lacking = [w for w, s in zip(words, slots) if s < 0]
+        if lacking:
+            back = [w for w in lacking if w in old]
+            if back:
+                self.words.add(back, *self.older.read(np.fromiter((old[w] for w in back), np.int64, len(back))))
+            new = [w for w in lacking if w not in old] if back else lacking
+            if new:
+                self._learn(new)
+            slots = [known[w] if s < 0 else s for w, s in zip(words, slots)]
+        return np.array(slots, np.int64)
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each text has; a null text has none."""
