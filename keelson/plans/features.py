@@ -27,6 +27,7 @@ class Run:
     distance_traveled: str = "use"
     weather: str = "ignore"
     destination: str = "ignore"
+    recurrent: str = "vt_dst_and_time"
 
 
 @dataclass(frozen=True)
@@ -38,11 +39,14 @@ class Step:
     apply: Callable[[DataFrame], DataFrame]
 
 
-def build_plan(run: Run, cfg: Config, ranges: Mapping[str, tuple[float, float]] | None = None) -> list[Step]:
-    """The steps of a run in order; without ``ranges`` the list ends before normalization."""
+def build_plan(run: Run, cfg: Config, ranges: Mapping[str, tuple[float, float]] | None = None, test: bool = False) -> list[Step]:
+    """The steps of a run in order; without ``ranges`` the list ends before normalization.
+
+    ``test`` keeps every future step of an iterative run, which is scored on all of them.
+    """
     plan = [
         Step("select_history", "x", lambda d: fx.select_history(d, cfg, run.history_hours, run.gap)),
-        Step("select_target", "y", lambda d: fx.select_target(d, cfg, run.gap, run.hours_out, run.model)),
+        Step("select_target", "y", lambda d: fx.select_target(d, cfg, run.gap, run.hours_out, run.model, test)),
     ]
     if run.time_of_day == "hour_day":
         plan.append(Step("local_time", "xy", fx.with_local_time))
@@ -73,6 +77,31 @@ def fit_ranges(train: DataFrame, run: Run, cfg: Config, box: Box) -> dict[str, t
     return fx.factors(fx.fit_normalizer(shaped, box, cfg.years, columns))
 
 
+def fusion_halves(x: DataFrame, run: Run, cfg: Config) -> tuple[DataFrame, DataFrame]:
+    """(recurrent columns of every step, the other columns of the last step) of a shaped x half."""
+    recurrent = fx.recurrent_columns(x, run.recurrent, run.sog_cog, run.time_of_day)
+    return fx.fusion_split(x, recurrent, x_steps(cfg, run.gap)[-1])
+
+
+def shape_datasets(
+    datasets: DataFrame, run: Run, cfg: Config, ranges: Mapping[str, tuple[float, float]], part: str
+) -> DataFrame:
+    """One part ('x', 'y', or 'recurrent' and 'dense' of x) of every dataset of ``window_datasets``, with its ``dataset``.
+
+    All datasets go through the same plan with the same ranges.  A validation track has windows of equal number in
+    two datasets, so the dataset is part of the track while windows are shaped.
+    """
+    keyed = datasets.withColumn("track", F.struct("dataset", "track"))
+    shaped = []
+    for test in (False, True) if part == "y" else (False,):
+        rows = keyed.where(F.col("dataset").endswith("_test") == test) if part == "y" else keyed
+        shaped.append(apply_plan(rows.drop("dataset"), build_plan(run, cfg, ranges, test), "y" if part == "y" else "x"))
+    out = reduce(DataFrame.unionByName, shaped)
+    if part in ("recurrent", "dense"):
+        out = fusion_halves(out, run, cfg)[part == "dense"]
+    return out.withColumns({"dataset": F.col("track.dataset"), "track": F.col("track.track")})
+
+
 def analysis_dataset(df: DataFrame, cfg: Config, gap: int) -> DataFrame:
     """One described row per window: clock, bearing, distance, path, currents around the ship, bins.
 

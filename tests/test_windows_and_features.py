@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from keelson.config import Box, Config
 from keelson.operators import currents, features, resample, scoring, windows
+from keelson.plans import features as plans
 
 CFG = Config()
 
@@ -125,3 +126,24 @@ def test_gathered_windows_are_the_exploded_ones_after_one_shuffle(spark):
     assert sorted(map(str, got.collect())) == sorted(map(str, want.select(got.columns).collect()))
     text = windows.tensor_parts(df, replace(cfg, time_gaps=(300, 600)), ["lat"])._jdf.queryExecution().executedPlan().toString()
     assert text.count("Exchange hashpartitioning") == 1
+
+
+def test_plan_shapes_both_halves_of_every_dataset(spark):
+    cfg = replace(CFG, history=3, future=2, step=3600, window_movement=3600, years=(2024,))
+    rows = [(track, split, i, 9, 3600 * i, 27 + track / 10, -84 + i / 10, float(i), float(track), 2024, 1) for track, split in enumerate(("train", "valid", "test")) for i in range(9)]
+    df = spark.createDataFrame(rows, "track long, split string, row_index long, row_count long, base_datetime long, lat double, lon double, sog double, cog double, year int, month int")
+    datasets = windows.window_datasets(df, cfg).drop("split")
+    run = plans.Run(gap=3600, history_hours=1, hours_out=2, model="iterative", sog_cog="raw")
+    ranges = plans.fit_ranges(datasets.where("dataset like 'train%'").drop("dataset"), run, cfg, Box(26, 29, -85.5, -81.5))
+    assert ranges["sog"] == (1.0, 5.0)
+    shaped = {part: plans.shape_datasets(datasets, run, cfg, ranges, part) for part in ("x", "y", "recurrent", "dense")}
+    counts = {part: {r["dataset"]: r["count"] for r in d.groupBy("dataset").count().collect()} for part, d in shaped.items()}
+    windows_of = {"train_long_term_train": 4, "valid_long_term_train": 4, "valid_long_term_test": 2, "test_long_term_test": 2}
+    assert counts["x"] == counts["recurrent"] == {name: 2 * n for name, n in windows_of.items()}
+    assert counts["dense"] == windows_of
+    assert counts["y"] == {name: n * (3 if name.endswith("_test") else 1) for name, n in windows_of.items()}
+    assert {*shaped["recurrent"].columns} == {"dataset", "track", "window_id", "step", "lat", "lon", "sog", "cog", "hour", "day_of_week"}
+    assert {*shaped["dense"].columns} == {"dataset", "track", "window_id", "year", "month", "distance_traveled"}
+    km = shaped["x"].where("dataset = 'valid_long_term_test' and window_id = 1").select("step", "sog", "distance_traveled").orderBy("step").collect()
+    assert [(r["step"], round(r["sog"], 6)) for r in km] == [(1, 0.75), (2, 1.0)]
+    assert km[0]["distance_traveled"] == km[1]["distance_traveled"]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keelson.functions.storage import cut
@@ -324,6 +327,29 @@ def _(spark, sf):
     return back.select("track", "base_datetime", *[q4(F.col(c)).alias(c) for c in ("lat", "lon", "sog")])
 
 
+def every_row(spark, sf):
+    """Rows of every dataset, and the ranges of the training rows."""
+    rows = inputs.resampled(spark, sf)
+    rows = cut(rows.withColumns({"speed_1": F.col("sog"), "speed_2": F.col("cog"), "water_1": F.col("sog") * 2}))
+    return rows, fx.factors(fx.fit_normalizer(rows.where(F.col("split") == "train"), BOX, CFG.years, _RANGED))
+
+
+_EVERY_SQL = _WATER_SQL.replace(" where split = 'train'", "")
+
+
+@query("normalize_datasets", f"select track, base_datetime, split, {', '.join(_scaled_sql(c) for c in _RANGED)} from {_EVERY_SQL}")
+def _(spark, sf):
+    rows, ranges = every_row(spark, sf)
+    return fx.normalize(rows, ranges).select("track", "base_datetime", "split", *[q4(F.col(c)).alias(c) for c in _RANGED])
+
+
+@query("unnormalize_datasets", f"select track, base_datetime, split, {_q(['lat', 'lon', 'sog'])} from resampled")
+def _(spark, sf):
+    rows, ranges = every_row(spark, sf)
+    back = fx.unnormalize(fx.normalize(rows, ranges), ranges, ["lat", "lon", "sog"])
+    return back.select("track", "base_datetime", "split", *[q4(F.col(c)).alias(c) for c in ("lat", "lon", "sog")])
+
+
 @query(
     "fusion_split",
     f"""select 'recurrent' as half, {STEP_SQL}, {q4_sql('lat')} as lat, cast(null as double) as cog from history_rows
@@ -399,6 +425,65 @@ def _(spark, sf):
     return x.select(*key(), *[q4(F.col(c)).alias(c) for c in ("lat", "lon", *_PLANNED)])
 
 
+# The same plan on both halves of every dataset; numbers of windows repeat between datasets.
+ITERATIVE = plans.Run(gap=GAP, history_hours=3, hours_out=2, model="iterative", sog_cog="raw")
+cte("dataset_history", "select * from dataset_rows where step in (1, 2, 3, 4)")
+WD = "(partition by dataset, track, window_id)"
+cte(
+    "dataset_plan",
+    f"""select dataset, track, window_id, step, lat, lon, sog, cog, year, month, cast(hour({LOCAL}) as double) as hour, cast(isodow({LOCAL}) - 1 as double) as day_of_week,
+      min(sog) over {WD} as sog_min, median(sog) over {WD} as sog_median, max(sog) over {WD} as sog_max,
+      min(cog) over {WD} as cog_min, median(cog) over {WD} as cog_median, max(cog) over {WD} as cog_max,
+      {haversine_sql(f'(arg_min(lat, step) over {WD})', f'(arg_min(lon, step) over {WD})', f'(arg_max(lat, step) over {WD})', f'(arg_max(lon, step) over {WD})')} as distance_traveled
+      from dataset_history""",
+)
+_TRAINED = "filter (where dataset = 'train_long_term_train') over ()"
+_FITTED = ["sog", "cog", *_PLANNED]
+_FITTED_SQL = ", ".join(f"({c} - min({c}) {_TRAINED}) / (max({c}) {_TRAINED} - min({c}) {_TRAINED}) as {c}" for c in _FITTED)
+cte(
+    "dataset_scaled",
+    f"""select dataset, track, window_id, step, (lat - 26) / 3 as lat, (lon + 85.5) / 4 as lon, cast(year - 2024 as double) as year,
+      (month - 1) / cast(11 as double) as month, {_FITTED_SQL} from dataset_plan""",
+)
+cte("trained_ranges", "select " + ", ".join(f"min({c}) as {c}_low, max({c}) as {c}_high" for c in ("sog", "cog")) + " from dataset_plan where dataset = 'train_long_term_train'")
+cte(
+    "dataset_targets",
+    """select dataset, track, window_id, step, (lat - 26) / 3 as lat, (lon + 85.5) / 4 as lon,
+      (sog - sog_low) / (sog_high - sog_low) as sog, (cog - cog_low) / (cog_high - cog_low) as cog from dataset_rows, trained_ranges where step >= 5""",
+)
+_SHAPED = ["lat", "lon", "sog", "cog", "year", "month", *_PLANNED]
+_PARTS = {  # model and part: columns, whether steps are numbered, source
+    ("direct", "x"): ([c for c in _SHAPED if c not in ("sog", "cog")], True, "dataset_scaled"),
+    ("direct", "y"): (["lat", "lon"], False, "dataset_targets where step = 6"),
+    ("direct", "recurrent"): (["lat", "lon", "hour", "day_of_week"], True, "dataset_scaled"),
+    ("direct", "dense"): (["year", "month", *_STATS, "distance_traveled"], False, "dataset_scaled where step = 4"),
+    ("iterative", "x"): (["lat", "lon", "sog", "cog", "year", "month", "hour", "day_of_week", "distance_traveled"], True, "dataset_scaled"),
+    ("iterative", "y"): (["lat", "lon", "sog", "cog"], True, "dataset_targets where step = 5 or dataset like '%_test'"),
+}
+
+
+def _part_sql(model, part, columns, numbered, source):
+    values = ", ".join(f"{q4_sql(c) if c in columns else 'cast(null as double)'} as {c}" for c in _SHAPED)
+    step = "step" if numbered else "null"
+    return f"select dataset, '{model}' as model, '{part}' as part, {KEY_SQL}, cast({step} as bigint) as step, {values} from {source}"
+
+
+@query("transformation_plan_datasets", " union all ".join(_part_sql(*names, *of) for names, of in _PARTS.items()))
+def _(spark, sf):
+    rows = cut(inputs.resampled(spark, sf).drop("mmsi", "vessel_group", "heading"))
+    train = windows.train_windows(rows.where(F.col("split") == "train"), CFG).drop("split")
+    datasets = windows.window_datasets(rows, CFG).drop("split")
+    runs = {"direct": RUN, "iterative": ITERATIVE}
+    ranges = {model: plans.fit_ranges(train, run, CFG, BOX) for model, run in runs.items()}
+    parts = []
+    for (model, part), (columns, numbered, _source) in _PARTS.items():
+        out = plans.shape_datasets(datasets, runs[model], CFG, ranges[model], part)
+        values = [q4(F.col(c) if c in columns else F.lit(None).cast("double")).alias(c) for c in _SHAPED]
+        step = F.col("step") if numbered else F.lit(None)
+        parts.append(out.select("dataset", F.lit(model).alias("model"), F.lit(part).alias("part"), *key(False), step.cast("bigint").alias("step"), *values))
+    return reduce(DataFrame.unionByName, parts)
+
+
 _ANALYSIS = ["mean_bearing_angle", "std_bearing_angle", "distance_traveled", *_COMPONENTS, *_MAGNITUDES, *_NEAR]
 cte(
     "analysis_rows",
