@@ -3,11 +3,12 @@
 A page is read into a tree of its block elements.  Every node has C characters and T tags below it, LC and LT of
 them in links, and the density  C / T * log(C / LC * T / LT) / log(log(C * LC / (C - LC) + C * LCb / Cb + e)),
 characters per tag made smaller by links (b: the body; zeros count as one).  The sum of its children's densities
-tells a container of dense blocks from a block.  The node with the largest sum is the content, the least density on
-its path up to the body is the threshold, and blocks of that density elsewhere are content too.  Elements that are
+tells a container of dense blocks from a block.  The node of the whole page with the largest sum is the content, the
+least density on its path up to the body is the threshold, and in every node of that density or more the node with the
+largest sum is content too.  Elements that are
 furniture by their tag, role or class (menus, page headers, footers, sidebars, notices, adverts, forms, scripts,
-styles, reader comments) are never content.  Where a page marks its ``article`` or ``main``, the search stays inside
-it and the content found is widened to all of it, so that short headings and lines of the article are not lost.
+styles, reader comments) are never content.  Content found inside an ``article``, or else a ``main``, is widened to
+all of it, so that its short headings and lines are not lost; one that holds no content found is left out.
 
 Blocks of text are trimmed, their white space becomes single blanks, and they are joined by line feeds in page order.
 Null and empty pages have an empty text; unclosed and stray tags are read as browsers read them, an unclosed script or
@@ -205,29 +206,25 @@ def main_text(page: str | None) -> str:
     real = [x for x in nodes if not x.furniture and x.chars]
     if not real:
         return ""
-    for marks in (("article",), ("main",)):
-        marked = [x for x in real if _inside(x, marks)]
-        if marked:
-            real = marked
-            break
-    else:
-        marks = ()
-    sums = {id(x): sum(y.density for y in x.children if not y.furniture) for x in real}
-    best = max(reversed(real), key=lambda x: sums[id(x)] or x.density * 1e-9)  # of equals the innermost
+    sums = {id(x): sum(y.density for y in x.children if not y.furniture) or x.density * 1e-9 for x in real}
+    best = max(reversed(real), key=lambda x: sums[id(x)])  # of equals the innermost
     threshold, node = best.density, best
     while node.parent is not None and node.parent.tag not in ("html", "body"):
         node = node.parent
         threshold = min(threshold, node.density)
-    outer = _inside(best, marks) if marks else None
-    chosen = [outer or best]
-    if outer is None:
-        chosen += [x for x in real if x.density >= threshold and not any(not y.furniture for y in x.children)]
+    densest: dict[int, Node] = {}  # the node with the largest sum in each subtree
+    for x in reversed(real):
+        densest[id(x)] = max([*(densest[id(y)] for y in x.children if id(y) in densest), x], key=lambda y: sums[id(y)])
+    content = {id(x): x for x in (best, *(densest[id(y)] for y in real if y.density >= threshold))}
+    chosen = {id(x): x for x in (_inside(y, ("article",)) or _inside(y, ("main",)) or y for y in content.values())}
     blocks: dict[int, str] = {}
-    todo = chosen
+    todo, seen = [*chosen.values()], set()
     while todo:
         node = todo.pop()
-        blocks.update(node.blocks)
-        todo.extend(x for x in node.children if not x.furniture)
+        if id(node) not in seen:
+            seen.add(id(node))
+            blocks.update(node.blocks)
+            todo.extend(x for x in node.children if not x.furniture)
     return "\n".join(blocks[i] for i in sorted(blocks))
 
 

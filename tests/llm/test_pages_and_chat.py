@@ -104,3 +104,14 @@ def test_conversations(spark, monkeypatch):
     monkeypatch.setattr(chat, "STRETCH", 3)
     small = {(r["conv_id"], r["rendered"]) for r in chat.render(chat.repair(turns.where("conv_id = 50"))).collect()}
     assert small == {(50, long["rendered"])}
+
+
+def test_content_is_found_before_it_is_widened_to_its_article():
+    text = [f"{LONG}{LONG}number {i}" for i in range(6)]
+    paragraphs = "".join(f"<p>{x}</p>" for x in text)
+    teaser = "<article><h2>Also</h2><p>Short teaser</p></article>"
+    for tag in ("main", "div"):
+        assert html_main.main_text(f"<body><{tag}>{paragraphs}</{tag}><div>{teaser}</div></body>") == "\n".join(text)
+    first, second = ("".join(f"<p>{x}</p>" for x in part) for part in (text[:3], text[3:]))
+    page = f"<body><div><article><h2>One</h2>{first}</article><article><h2>Two</h2>{second}</article></div></body>"
+    assert html_main.main_text(page) == "\n".join(["One", *text[:3], "Two", *text[3:]])
