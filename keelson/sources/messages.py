@@ -58,7 +58,7 @@ def read_messages(spark: SparkSession, path, file_format: str = "csv", bad_recor
     reader = spark.read.option("header", True)
     if bad_record:
         schema = T.StructType([*fields, T.StructField(bad_record, T.StringType())])
-        rows = reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad_record).csv(path)
+        rows = reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", bad_record).option("enforceSchema", False).csv(path)
     else:
         rows = reader.schema(T.StructType(fields)).option("mode", "FAILFAST").option("enforceSchema", False).csv(path)
     found = {known[names[c].lower()].name: F.col(f"`{c}`") for c in header}

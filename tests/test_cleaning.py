@@ -149,3 +149,11 @@ def test_messages_are_read_by_header(spark, tmp_path):
     assert [(r["MMSI"], r["LAT"], r["bad"]) for r in kept] == [("202", None, "x,202"), ("203", 2.5, None)]
     with pytest.raises(ValueError, match="unknown columns"):
         messages.read_messages(spark, file("c.csv", "LAT,Depth", "1,2"))
+
+
+def test_files_of_other_column_order_raise_with_bad_records_kept(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("MMSI,LAT,LON\n1,2.0,3.0\n")
+    assert messages.read_messages(spark, str(tmp_path), bad_record="bad").select("LAT", "LON", "bad").collect() == [(2.0, 3.0, None)]
+    (tmp_path / "b.csv").write_text("MMSI,LON,LAT\n2,3.0,2.0\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        messages.read_messages(spark, str(tmp_path), bad_record="bad").collect()
