@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 import keelson
 from keelson.functions.storage import work_folder
-from keelson.llm import bpe, chat, exact_dedup, gam, html_main, near_dedup, packing, planes, rules, substring
+from keelson.llm import bpe, centroids, chat, exact_dedup, gam, html_main, near_dedup, packing, planes, rules, search, sharding, substring
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -125,4 +125,19 @@ def chat_repair(spark, sf_dir):
     return chat.render(chat.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
 
 
+@query("op11_centroid_clusters", centroids.twin_sql())
+def centroid_clusters(spark, sf_dir):
+    return centroids.with_totals(centroids.fit(spark.read.parquet(f"{sf_dir}/embeddings.parquet")))
+
+
+@query("op12_balanced_shards")
+def balanced_shards(spark, sf_dir):
+    return sharding.query_rows(documents(spark, sf_dir))
+
+
+@query("op13_ranked_search", search.TWIN_SQL)
+def ranked_search(spark, sf_dir):
+    return search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
