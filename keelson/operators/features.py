@@ -118,7 +118,7 @@ def _sums(values: Column) -> Column:
     return F.aggregate(F.filter(values, lambda x: x.isNotNull()), zero, add)
 
 
-def _mean(values: Column) -> Column:
+def mean_of(values: Column) -> Column:
     return _finish(values, lambda t: F.try_divide(t["s"], t["n"]))
 
 
@@ -131,23 +131,19 @@ def _deviation(total: Column) -> Column:
     return F.greatest(F.lit(0.0), total["n"] * total["q"] - total["s"] * total["s"])
 
 
-def _std_pop(values: Column) -> Column:
+def std_pop_of(values: Column) -> Column:
     return _finish(values, lambda t: F.try_divide(F.sqrt(_deviation(t)), t["n"]))
 
 
-def _std_samp(values: Column) -> Column:
+def std_samp_of(values: Column) -> Column:
     return _finish(values, lambda t: F.sqrt(F.try_divide(F.try_divide(_deviation(t), t["n"]), t["n"] - 1)))
 
 
-def _field(name: str):
-    return lambda entry: entry[name]
-
-
 def _component(name: str, currents: str = "currents") -> Column:
     return F.transform(F.col(currents), lambda c: c[name].cast("double"))
 
 
-def _magnitude(cell: Column) -> Column:
+def magnitude(cell: Column) -> Column:
     u, v = cell["u"].cast("double"), cell["v"].cast("double")
     return F.sqrt(u * u + v * v)
 
@@ -174,20 +170,20 @@ def with_component_stats(df: DataFrame) -> DataFrame:
     out = {}
     for name in ("u", "v"):
         values = _component(name)
-        out[f"water_{name}_mean"] = _mean(F.transform(values, F.abs))
-        out[f"water_{name}_std"] = _std_pop(values)
+        out[f"water_{name}_mean"] = mean_of(F.transform(values, F.abs))
+        out[f"water_{name}_std"] = std_pop_of(values)
     return df.withColumns(out)
 
 
 def with_magnitude_stats(df: DataFrame) -> DataFrame:
     """Mean and population deviation of the current speed over the grid."""
-    values = F.transform(F.col("currents"), _magnitude)
-    return df.withColumns({"mean_current_magnitude": _mean(values), "std_current_magnitude": _std_pop(values)})
+    values = F.transform(F.col("currents"), magnitude)
+    return df.withColumns({"mean_current_magnitude": mean_of(values), "std_current_magnitude": std_pop_of(values)})
 
 
 def describe_currents(df: DataFrame) -> DataFrame:
-    """Every statistic that depends on the currents alone; apply it to stamps, not messages."""
-    return with_magnitude_stats(with_component_stats(df))
+    """Every statistic that depends on the currents alone, and the speeds by cell; apply it to stamps, not messages."""
+    return with_magnitude_stats(with_component_stats(df)).withColumn("speeds", F.transform("currents", magnitude))
 
 
 def last_step(df: DataFrame) -> DataFrame:
@@ -203,43 +199,6 @@ def last_step(df: DataFrame) -> DataFrame:
     )
 
 
-def _by_distance(df: DataFrame) -> DataFrame:
-    """Add ``_near``: the row's current cells, nearest first.
-
-    The grid is a bounded array already in the row, so the nearest cells need neither a
-    join nor a shuffle.  Distances are compared in millimetres, so that cells equally far
-    but for rounding order by position.
-    """
-    near = F.transform(
-        F.col("currents"),
-        lambda c: F.struct(
-            F.floor(haversine(F.col("lat"), F.col("lon"), c["lat"], c["lon"]) * 1e6 + 0.5).alias("mm"),
-            c["lat"].alias("lat"), c["lon"].alias("lon"), c["u"].alias("u"), c["v"].alias("v"),
-        ),
-    )
-    return df.withColumn("_near", F.array_sort(near))
-
-
-def nearest_stats(df: DataFrame, counts: Sequence[int] = NEAREST_COUNTS) -> DataFrame:
-    """Mean and sample deviation of the current speed over the n nearest cells (no deviation for one)."""
-    speeds = _by_distance(df).withColumn("_near", F.transform("_near", _magnitude))
-    out = {}
-    for n in counts:
-        values = F.slice("_near", 1, n)
-        out[f"{n}_closest_weather_magnitude_mean"] = _mean(values)
-        if n > 1:
-            out[f"{n}_closest_weather_magnitude_std"] = _std_samp(values)
-    return speeds.withColumns(out).drop("_near")
-
-
-def nearest_arrays(df: DataFrame, k: int = NEAREST_ARRAY) -> DataFrame:
-    """Arrays of u, v, latitude and longitude of the k nearest cells, by distance."""
-    near = _by_distance(df).withColumn("_near", F.slice("_near", 1, k))
-    names = {"us": "u", "vs": "v", "lats": "lat", "lons": "lon"}
-    arrays = {f"closest_weather_{n}": F.transform("_near", _field(f)) for n, f in names.items()}
-    return near.withColumns(arrays).drop("_near")
-
-
 def undo_one_hot(df: DataFrame, prefix: str) -> DataFrame:
     """Boolean columns ``{prefix}_{level}`` back to one text column ``prefix``."""
     columns = [c for c in df.columns if c.startswith(f"{prefix}_") and dict(df.dtypes)[c] == "boolean"]

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from keelson.config import Box, Config
 from keelson.operators import features as fx
+from keelson.operators import nearest
 from keelson.operators.windows import x_steps
 
 
@@ -102,15 +103,15 @@ def shape_datasets(
     return out.withColumns({"dataset": F.col("track.dataset"), "track": F.col("track.track")})
 
 
-def analysis_dataset(df: DataFrame, cfg: Config, gap: int) -> DataFrame:
+def analysis_dataset(df: DataFrame, index: DataFrame, cfg: Config, gap: int) -> DataFrame:
     """One described row per window: clock, bearing, distance, path, currents around the ship, bins.
 
     ``df`` holds window rows with packed ``currents`` and the columns
     :func:`describe_currents` adds to stamps.  The currents around the ship are looked up
-    for the last step only, after the windows have shrunk to one row each.
+    for the last step only, after the windows have shrunk to one row each, through the ``index`` of their tiles.
     """
     history = df.where(F.col("step").isin(x_steps(cfg, gap)))
     described = fx.with_distance(fx.with_bearing(fx.with_local_time(history).drop("base_datetime")))
     last = fx.last_step(described)
-    currents = fx.nearest_arrays(fx.nearest_stats(last))
-    return fx.with_bins(currents.drop("currents"))
+    currents = nearest.nearest_arrays(nearest.nearest_stats(last, index), index)
+    return fx.with_bins(currents.drop("currents", "speeds"))

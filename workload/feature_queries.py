@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from keelson.functions.storage import cut
 from keelson.operators import currents as water
 from keelson.operators import features as fx
+from keelson.operators import nearest
 from keelson.operators import windows
 from keelson.plans import features as plans
 from workload import inputs
@@ -124,8 +125,10 @@ def packed(spark, sf):
 
 
 def with_currents(spark, sf):
-    """Resampled rows with packed, gap-filled currents."""
-    return water.append_packed(inputs.resampled(spark, sf), cut(packed(spark, sf)), fx.describe_currents)
+    """Resampled rows with packed, gap-filled currents, and the index of the cells nearest to them."""
+    rows, stamps = cut(inputs.resampled(spark, sf)), cut(packed(spark, sf))
+    index = cut(nearest.near_index(rows, nearest.grid_of(stamps)))
+    return water.append_packed(rows, stamps, fx.describe_currents), index
 
 
 # Cells per stamp, and the mean cells that stand in for missing stamps.
@@ -162,7 +165,8 @@ def _q(names):
 
 @query("current_component_stats", f"select track, base_datetime, {_q(_COMPONENTS)} from row_stats")
 def _(spark, sf):
-    return with_currents(spark, sf).select("track", "base_datetime", *[q4(F.col(c)).alias(c) for c in _COMPONENTS])
+    rows = water.append_packed(cut(inputs.resampled(spark, sf)), cut(packed(spark, sf)), fx.with_component_stats)
+    return rows.select("track", "base_datetime", *[q4(F.col(c)).alias(c) for c in _COMPONENTS])
 
 
 _MAGNITUDES = ["mean_current_magnitude", "std_current_magnitude"]
@@ -207,14 +211,14 @@ _NEAR_SQL = ", ".join(
 
 @query("nearest_currents_stats", f"select track, base_datetime, {_NEAR_SQL} from near_cells group by track, base_datetime")
 def _(spark, sf):
-    out = fx.nearest_stats(with_currents(spark, sf))
+    out = nearest.nearest_stats(*with_currents(spark, sf))
     return out.select("track", "base_datetime", *[q4(F.col(f"`{c}`")).alias(c) for c in _NEAR])
 
 
 @query("nearest_currents_arrays", "select track, base_datetime, cast(nth - 1 as bigint) as at, u, v, latitude as lat, longitude as lon from near_cells where nth <= 35")
 def _(spark, sf):
     arrays = ["closest_weather_us", "closest_weather_vs", "closest_weather_lats", "closest_weather_lons"]
-    out = fx.nearest_arrays(with_currents(spark, sf))
+    out = nearest.nearest_arrays(*with_currents(spark, sf))
     cell = out.select("track", "base_datetime", F.posexplode(F.arrays_zip(*arrays)).alias("at", "c"))
     return cell.select(
         "track", "base_datetime", *big("at"),
@@ -503,8 +507,8 @@ _BIN_NAMES = [f"{c}_bin" for c, _, _ in fx.BINS]
       from analysis_rows a join near_stats n on n.track = a.track and n.base_datetime = a.base_datetime""",
 )
 def _(spark, sf):
-    rows = windows.test_windows(with_currents(spark, sf), CFG)
-    out = plans.analysis_dataset(rows, CFG, GAP)
+    rows, index = with_currents(spark, sf)
+    out = plans.analysis_dataset(windows.test_windows(rows, CFG), index, CFG, GAP)
     return out.select(*key(False), *big("hour"), *[q4(F.col(f"`{c}`")).alias(c) for c in _ANALYSIS], *_BIN_NAMES)
 
 
