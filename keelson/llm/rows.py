@@ -39,7 +39,10 @@ def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows in slices whose ``column`` holds ``most`` bytes at most, or one row."""
+    """The same rows in slices whose ``column`` holds ``most`` bytes at most, or one row.
+
+    At the end the Arrow memory that the task has freed goes back to the system, as workers outlive their tasks.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -50,6 +53,7 @@ def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYT
             upto = max(at + 1, int(np.searchsorted(ends, before + most, side="right")))
             yield batch.slice(at, upto - at)
             at = upto
+    pa.default_memory_pool().release_unused()
 
 
 def split_words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

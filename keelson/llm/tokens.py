@@ -1,27 +1,32 @@
 """Token ids of whole texts under a public tokenizer file, word by word.
 
 The file's normalizer and pre-tokenizer never look across ASCII white space, so the ids of a text are the ids of
-its words in order.  Within a batch each distinct word is handled once; a bounded memory of words and of their
-parts is kept between batches of a worker.  The ids of a part come from a *part encoder*: the tokenizers library's
-own model (``library_parts``) or the segment-tree merges of ``keelson.llm.bpe``.
+its words in order.  Within a batch each distinct word is cut into *atoms* once: the parts of a plain word, or an odd
+word whole.  A pool, bounded in bytes, keeps the ids of atoms between batches of a worker; atoms are looked up and
+put together in Arrow, and only new ones become Python strings.  The ids of a part come from a *part encoder*: the
+tokenizers library's own model (``library_parts``) or the segment-tree merges of ``keelson.llm.bpe``.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 
-from keelson.llm.rows import ramps, split_words
+from keelson.llm.rows import split_words
 
-#: Words that a worker remembers before the oldest generation goes, and parts before it starts afresh; results do not depend on it.
-REMEMBERED = 300_000
+#: Bytes of atoms and ids that a worker keeps; results do not depend on it.
+REMEMBERED = 32 << 20
 #: Words of these characters only take the short way: lower case and split by the file's pattern. In this range
 #: composition (NFC) changes nothing and the classes of letters and digits are the same in every Unicode version.
-_PLAIN = regex.compile(r"[\x20-\x7E¡-įı-ž]+")
+_PLAIN = r"^[\x20-\x7E\x{A1}-\x{12F}\x{131}-\x{17E}]*$"
+# The letters and the numbers among them.
+_LETTERS = r"A-Za-z\x{AA}\x{B5}\x{BA}\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{17E}"
+_NUMBERS = r"0-9\x{B2}\x{B3}\x{B9}\x{BC}-\x{BE}"
 
 PartEncoder = Callable[[Sequence[str]], tuple[np.ndarray, np.ndarray]]
 
@@ -48,42 +53,44 @@ def library_parts(path: str) -> PartEncoder:
 
     def encode(parts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [[t.id for t in model.tokenize(p)] for p in parts]
-        return np.fromiter((i for x in ids for i in x), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
+        return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int64, len(ids))
 
     return encode
 
 
 class _Pool:
-    """Id sequences by key, in one growing array."""
+    """Id sequences by atom, in Arrow arrays that grow."""
 
     def __init__(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.start = np.zeros(1024, np.int64)
-        self.size = np.zeros(1024, np.int64)
-        self.ids = np.zeros(4096, np.uint32)
-        self.used = 0
-
-    def add(self, keys: Sequence[str], ids: np.ndarray, sizes: np.ndarray) -> None:
-        first, n = len(self.slot), len(keys)
-        while first + n > len(self.start):
-            self.start, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.start, self.size))
-        while self.used + len(ids) > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        self.slot.update(zip(keys, range(first, first + n)))
-        self.start[first : first + n] = self.used + np.cumsum(sizes) - sizes
-        self.size[first : first + n] = sizes
-        self.ids[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-
-    def read(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        sizes = self.size[slots]
-        return self.ids[np.repeat(self.start[slots], sizes) + ramps(sizes)], sizes
+        self.keys = pa.array([], pa.string())
+        self.ids = pa.array([], pa.list_(pa.uint32()))
+
+    @property
+    def bytes(self) -> int:
+        return self.keys.nbytes + self.ids.nbytes
+
+    def find(self, atoms: pa.Array) -> np.ndarray:
+        """Where each atom is, or -1."""
+        return pc.fill_null(pc.index_in(atoms, value_set=self.keys), -1).to_numpy(zero_copy_only=False)
+
+    def add(self, atoms: pa.Array, ids: pa.Array) -> None:
+        self.keys, self.ids = pa.concat_arrays([self.keys, atoms]), pa.concat_arrays([self.ids, ids])
+
+
+def _lists(sizes: np.ndarray, values: np.ndarray) -> pa.Array:
+    """``values`` cut into lists of these sizes."""
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(values))
+
+
+def _plain(words: pa.Array) -> pa.Array:
+    return pc.and_(pc.match_substring_regex(words, _PLAIN), pc.invert(pc.match_substring(words, "<|")))
 
 
 class TextEncoder:
     """Encodes Arrow arrays of texts to ids and counts, equal to the library's ``encode(text, add_special_tokens=False)``."""
 
     def __init__(self, path: str, parts: PartEncoder, remembered: int = REMEMBERED) -> None:
+        import regex
         from tokenizers import Tokenizer
 
         whole = json.load(open(path, encoding="utf-8"))
@@ -92,12 +99,12 @@ class TextEncoder:
         self.library.no_padding()
         self.special = {t["content"]: t["id"] for t in whole["added_tokens"]}
         self.special_at = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
-        self.pattern = regex.compile(whole["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
-        self.pattern_or_blank = regex.compile(self.pattern.pattern + "| ")
+        pattern = whole["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
+        self.pattern = f"({pattern})".replace(r"\p{L}", _LETTERS).replace(r"\p{N}", _NUMBERS)
         letters = byte_letters()
         self.spelled = {c: "".join(letters[b] for b in chr(c).encode()) for c in range(0x80, 0x800)}
         self.encode_parts, self.remembered = parts, remembered
-        self.words, self.older, self.parts = _Pool(), _Pool(), _Pool()
+        self.pool = _Pool()
 
     def _odd_parts(self, word: str) -> list[str | int]:
         """Parts of any word in byte letters, by the library's own steps; an integer is a special token's id."""
@@ -111,69 +118,59 @@ class TextEncoder:
                 at = m.end()
         return parts
 
-    def _split(self, words: list[str]) -> tuple[list[str | int], np.ndarray]:
-        """The parts of all words in order, and how many each word has."""
-        joined, plain = " ".join(words), np.ones(len(words), bool)
-        if "<|" in joined or not _PLAIN.fullmatch(joined):
-            plain = np.fromiter(("<|" not in w and _PLAIN.fullmatch(w) is not None for w in words), bool, len(words))
-            joined = " ".join([w if p else "" for w, p in zip(words, plain)])
-        cut = [p if p.isascii() else p.translate(self.spelled) for p in self.pattern_or_blank.findall(joined.lower())]
-        blank = np.fromiter((p == " " for p in cut), bool, len(cut))
-        counts = np.diff(np.concatenate([[-1], np.flatnonzero(blank), [len(cut)]])) - 1
+    def _atoms(self, words: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The atoms of all words in order, and how many each word has."""
+        plain, low = _plain(words), pc.utf8_lower(words)
+        cut = pc.replace_substring_regex(low, pattern=f"([^{_LETTERS}]+)", replacement=r" \1 ")  # runs of letters and of signs
+        full = pc.and_(plain, pc.match_substring_regex(words, f"['{_NUMBERS}]"))  # what else the pattern tells apart
+        if pc.any(full).as_py():
+            cut = pc.replace_with_mask(cut, full, pc.replace_substring_regex(low.filter(full), pattern=self.pattern, replacement=r"\1 "))
+        return split_words(pc.if_else(plain, cut, words))
+
+    def _learned(self, atoms: pa.Array) -> pa.Array:
+        """Ids of atoms that the pool lacks."""
+        plain = _plain(atoms).to_numpy(zero_copy_only=False)
+        texts = atoms.to_pylist()
         if plain.all():
-            return [p for p in cut if p != " "], counts
-        ends = np.cumsum(counts)
-        short = [p for p in cut if p != " "]
-        parts: list[str | int] = []
-        for i, word in enumerate(words):
-            some = short[ends[i] - counts[i] : ends[i]] if plain[i] else self._odd_parts(word)
-            counts[i] = len(some)
-            parts += some
-        return parts, counts
-
-    def _learn(self, words: list[str]) -> None:
-        parts, n_parts = self._split(words)
-        slot = self.parts.slot
-        new = [p for p in dict.fromkeys(parts) if p not in slot]
-        plain = [p for p in new if isinstance(p, str)]
-        if plain:
-            self.parts.add(plain, *self.encode_parts(plain))
-        for p in new:
-            if not isinstance(p, str):
-                self.parts.add([p], np.array([p], np.uint32), np.ones(1, np.int64))
-        ids, sizes = self.parts.read(np.fromiter((slot[p] for p in parts), np.int64, len(parts)))
-        upto = np.concatenate([[0], np.cumsum(sizes)])
-        ends = np.cumsum(n_parts)
-        self.words.add(words, ids, upto[ends] - upto[ends - n_parts])
-
-    def _slots(self, words: list[str]) -> np.ndarray:
-        """Where the pool of words has each of these distinct words, after learning those it lacks."""
-        if len(self.words.slot) + len(words) > self.remembered:
-            self.older, self.words = self.words, _Pool()
-        if len(self.parts.slot) > self.remembered:
-            self.parts = _Pool()
-        known, old = self.words.slot, self.older.slot
-        slots = [known.get(w, -1) for w in words]
-        lacking = [w for w, s in zip(words, slots) if s < 0]
-        if lacking:
-            back = [w for w in lacking if w in old]
-            if back:
-                self.words.add(back, *self.older.read(np.fromiter((old[w] for w in back), np.int64, len(back))))
-            new = [w for w in lacking if w not in old] if back else lacking
-            if new:
-                self._learn(new)
-            slots = [known[w] if s < 0 else s for w, s in zip(words, slots)]
-        return np.array(slots, np.int64)
+            return _lists(*reversed(self.encode_parts([t if t.isascii() else t.translate(self.spelled) for t in texts])))
+        pieces = [[t if t.isascii() else t.translate(self.spelled)] if p else self._odd_parts(t) for t, p in zip(texts, plain)]
+        wanted = list(dict.fromkeys(x for some in pieces for x in some if isinstance(x, str)))
+        ids, sizes = self.encode_parts(wanted)
+        ends = np.cumsum(sizes).tolist()
+        known = {w: ids[e - n : e].tolist() for w, e, n in zip(wanted, ends, sizes.tolist())}
+        return pa.array([[i for x in some for i in (known[x] if isinstance(x, str) else [x])] for some in pieces], pa.list_(pa.uint32()))
+
+    def _slots(self, atoms: pa.Array) -> np.ndarray:
+        """Where the pool has each of these distinct atoms, after learning those it lacks."""
+        slots = self.pool.find(atoms)
+        if (slots < 0).any():
+            if self.pool.bytes > self.remembered:
+                self.pool, slots = _Pool(), np.full(len(atoms), -1, slots.dtype)
+            new = np.flatnonzero(slots < 0)
+            first = len(self.pool.keys)
+            lacking = atoms.take(pa.array(new))
+            self.pool.add(lacking, self._learned(lacking))
+            slots = slots.copy()
+            slots[new] = np.arange(first, first + len(new))
+        return slots
 
     def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and how many each text has; a null text has none."""
         words, n_words = split_words(texts)
-        coded = words.dictionary_encode()
-        slots = self._slots(coded.dictionary.to_pylist())
-        ids, sizes = self.words.read(slots[coded.indices.to_numpy()] if len(words) else slots)
-        upto = np.concatenate([[0], np.cumsum(sizes)])
+        if not len(words):
+            return np.zeros(0, np.uint32), np.zeros(len(n_words), np.int64)
+        words = words.dictionary_encode()
+        atoms, n_atoms = self._atoms(words.dictionary)
+        atoms = atoms.dictionary_encode()
+        slots = self._slots(atoms.dictionary).astype(np.int32)[atoms.indices.to_numpy()]
+        word_ids = self.pool.ids.take(pa.array(slots))  # the ids of each distinct word, atom by atom
+        upto = np.concatenate([[0], np.cumsum(pc.list_value_length(word_ids).to_numpy())])
+        ends = np.cumsum(n_atoms)
+        sizes = upto[ends] - upto[ends - n_atoms]
+        flat = _lists(sizes, pc.list_flatten(word_ids).to_numpy()).take(words.indices)
+        total = np.concatenate([[0], np.cumsum(sizes[words.indices.to_numpy()])])
         ends = np.cumsum(n_words)
-        return ids, upto[ends] - upto[ends - n_words]
+        return pc.list_flatten(flat).to_numpy(), total[ends] - total[ends - n_words]
 
 
 _ENCODERS: dict[tuple[str, str], TextEncoder] = {}
