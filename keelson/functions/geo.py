@@ -1,7 +1,8 @@
-"""Great-circle geometry as Column expressions (no UDFs, so scans stay inside codegen)."""
+"""Great-circle geometry as Column expressions (no UDFs, so scans stay inside codegen), and for arrays in a task."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,12 +15,13 @@ MAX_UTM_ZONE = 19
 
 
 def haversine(lat1, lon1, lat2, lon2, unit: str = "km", radius: float = EARTH_RADIUS_KM) -> Column:
-    """Great-circle distance between two points in degrees; ``unit`` is 'km' or 'nm'."""
+    """Great-circle distance between two points in degrees, null without one of them; ``unit`` is 'km' or 'nm'."""
     a, b = F.radians(lat1), F.radians(lat2)
     dlat = (b - a) / 2
     dlon = (F.radians(lon2) - F.radians(lon1)) / 2
     h = F.sin(dlat) * F.sin(dlat) + F.cos(a) * F.cos(b) * F.sin(dlon) * F.sin(dlon)
-    km = F.lit(2 * radius) * F.asin(F.sqrt(F.least(F.lit(1.0), F.greatest(F.lit(0.0), h))))
+    # least and greatest would pass over a null and make a missing position 0 km away
+    km = F.lit(2 * radius) * F.asin(F.sqrt(F.when(h > 1.0, F.lit(1.0)).when(h < 0.0, F.lit(0.0)).otherwise(h)))
     if unit == "km":
         return km
     if unit == "nm":
@@ -27,6 +29,13 @@ def haversine(lat1, lon1, lat2, lon2, unit: str = "km", radius: float = EARTH_RA
     raise ValueError(f"unknown unit {unit!r}")
 
 
+def great_circle_km(lat1, lon1, lat2, lon2, radius: float = EARTH_RADIUS_KM) -> np.ndarray:
+    """:func:`haversine` for arrays inside a task."""
+    a, b = np.radians(lat1), np.radians(lat2)
+    h = np.sin((b - a) / 2) ** 2 + np.cos(a) * np.cos(b) * np.sin((np.radians(lon2) - np.radians(lon1)) / 2) ** 2
+    return 2 * radius * np.arcsin(np.sqrt(np.clip(h, 0, 1)))
+
+
 def bearing(lat1, lon1, lat2, lon2) -> Column:
     """Initial bearing from the first point to the second, in [0, 360)."""
     a, b = F.radians(lat1), F.radians(lat2)

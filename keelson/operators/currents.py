@@ -233,15 +233,16 @@ def fill_packed(packed: DataFrame, frame: DataFrame) -> DataFrame:
 
 
 def append_packed(
-    df: DataFrame, packed: DataFrame, describe: Callable[[DataFrame], DataFrame] = lambda stamps: stamps
+    df: DataFrame, packed: DataFrame, describe: Callable[[DataFrame], DataFrame] = lambda stamps: stamps, train: DataFrame | None = None
 ) -> DataFrame:
     """Join packed currents to messages and fill what is missing with the training means.
 
     ``describe`` adds columns computed from ``currents`` alone.  It runs on the stamps, of
     which there are few, and the messages receive its results by the join; messages without
-    a stamp receive those of the mean frame, a single broadcast row.
+    a stamp receive those of the mean frame, a single broadcast row.  ``train`` are the messages
+    that weigh the means, those of ``df`` in the training split if left out.
     """
-    frame = mean_currents(df.where(F.col("split") == "train"), packed)
+    frame = mean_currents(df.where(F.col("split") == "train") if train is None else train, packed)
     stamps = describe(fill_packed(packed, frame))
     fallback = describe(frame.withColumnRenamed("frame", "currents"))
     added = fallback.columns

@@ -1,7 +1,6 @@
-"""Model features on windows.
+"""Model features of rows: selection of steps, clock, currents, columns, scaling.
 
-A window is a group of rows keyed by (track, window_id) and ordered by ``step``; its size
-is fixed by the configuration, so windows and groups over that key stay small.
+Features of whole windows are in ``window_features``.
 """
 
 from __future__ import annotations
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 
 from keelson.config import CATEGORICAL_COLUMNS, Box, Config
 from keelson.functions.clock import local_stamp
-from keelson.functions.geo import bearing, haversine
 from keelson.functions.ordered import shuffled_rank
 from keelson.operators.windows import x_steps, y_steps
 
@@ -40,16 +38,17 @@ BINS = (
 SHARED_RANGE_WORDS = ("speed", "water", "mmsi_neighbor", "lat_neighbor", "lon_neighbor", "time_since_neighbor")
 
 
-def _whole():
-    return Window.partitionBy(*KEY)
-
-
-def select_history(df: DataFrame, cfg: Config, hours: float, gap: int) -> DataFrame:
-    """Keep the last hours of the history part at a time gap; more than there is raises."""
+def history_steps(cfg: Config, hours: float, gap: int) -> list[int]:
+    """The steps of the last hours of the history part at a time gap; more than there is raises."""
     wanted, steps = int(hours * 3600 / gap + 1), x_steps(cfg, gap)
     if wanted > len(steps):
         raise ValueError(f"{wanted} history steps asked for, the windows hold {len(steps)}")
-    return df.where(F.col("step").isin(steps[-wanted:]))
+    return steps[-wanted:]
+
+
+def select_history(df: DataFrame, cfg: Config, hours: float, gap: int) -> DataFrame:
+    """Keep the last hours of the history part at a time gap."""
+    return df.where(F.col("step").isin(history_steps(cfg, hours, gap)))
 
 
 def target_index(cfg: Config, hours_out: float, gap: int) -> int:
@@ -60,14 +59,17 @@ def target_index(cfg: Config, hours_out: float, gap: int) -> int:
     return index
 
 
-def select_target(df: DataFrame, cfg: Config, gap: int, hours_out: float, model: str = "direct", test: bool = False):
-    """Future rows a model is scored on: one step (direct), the first (iterative) or all (iterative, test)."""
+def target_steps(cfg: Config, gap: int, hours_out: float, model: str = "direct", test: bool = False) -> list[int]:
+    """Future steps a model is scored on: one (direct), the first (iterative) or all (iterative, test)."""
     steps = y_steps(cfg, gap)
     if model == "direct":
-        steps = [steps[target_index(cfg, hours_out, gap)]]
-    elif model == "iterative" and not test:
-        steps = steps[:1]
-    return df.where(F.col("step").isin(steps))
+        return [steps[target_index(cfg, hours_out, gap)]]
+    return steps[:1] if model == "iterative" and not test else steps
+
+
+def select_target(df: DataFrame, cfg: Config, gap: int, hours_out: float, model: str = "direct", test: bool = False):
+    """Future rows a model is scored on."""
+    return df.where(F.col("step").isin(target_steps(cfg, gap, hours_out, model, test)))
 
 
 def with_local_time(df: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
@@ -76,38 +78,6 @@ def with_local_time(df: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
     return df.withColumns({"hour": F.hour(local), "day_of_week": F.weekday(local.cast("date"))})
 
 
-def with_stats(df: DataFrame, columns: Sequence[str] = ("sog", "cog"), which: str = "min_median_max") -> DataFrame:
-    """Replace columns by per-window statistics, the same on every step."""
-    functions = {"min": F.min, "median": F.median, "max": F.max}
-    wanted = ["median"] if which == "median" else list(functions)
-    return df.withColumns(
-        {f"{c}_{name}": functions[name](c).over(_whole()) for c in columns for name in wanted}
-    ).drop(*columns)
-
-
-def with_distance(df: DataFrame) -> DataFrame:
-    """Add ``distance_traveled``: km from the first to the last step."""
-    point = F.struct("lat", "lon")
-    a, b = F.min_by(point, "step").over(_whole()), F.max_by(point, "step").over(_whole())
-    ends = df.withColumns({"_a": a, "_b": b})
-    km = haversine(F.col("_a.lat"), F.col("_a.lon"), F.col("_b.lat"), F.col("_b.lon"))
-    return ends.withColumn("distance_traveled", km).drop("_a", "_b")
-
-
-def with_bearing(df: DataFrame) -> DataFrame:
-    """Add the mean and population deviation of the bearings between consecutive steps."""
-    following = F.lead(F.struct("lat", "lon")).over(_whole().orderBy("step"))
-    turned = df.withColumn("_to", following).withColumn(
-        "_angle", F.when(F.col("_to").isNotNull(), bearing(F.col("lat"), F.col("lon"), F.col("_to.lat"), F.col("_to.lon")))
-    )
-    return turned.withColumns(
-        {
-            "mean_bearing_angle": F.avg("_angle").over(_whole()),
-            "std_bearing_angle": F.stddev_pop("_angle").over(_whole()),
-        }
-    ).drop("_to", "_angle")
-
-
 def _sums(values: Column) -> Column:
     """Count, sum and sum of squares of the non-null values, in one pass over the array."""
     zero = F.struct(F.lit(0.0).alias("n"), F.lit(0.0).alias("s"), F.lit(0.0).alias("q"))
@@ -186,19 +156,6 @@ def describe_currents(df: DataFrame) -> DataFrame:
     return with_magnitude_stats(with_component_stats(df)).withColumn("speeds", F.transform("currents", magnitude))
 
 
-def last_step(df: DataFrame) -> DataFrame:
-    """One row per window: its last step, with the whole path as arrays ``lats`` and ``lons``."""
-    others = [c for c in df.columns if c not in KEY]
-    path = F.array_sort(F.collect_list(F.struct("step", "lat", "lon")))
-    gathered = df.groupBy(*KEY).agg(F.max_by(F.struct(*others), "step").alias("_last"), path.alias("_path"))
-    return gathered.select(
-        *KEY,
-        *[F.col("_last")[c].alias(c) for c in others],
-        F.transform("_path", lambda p: p["lat"]).alias("lats"),
-        F.transform("_path", lambda p: p["lon"]).alias("lons"),
-    )
-
-
 def undo_one_hot(df: DataFrame, prefix: str) -> DataFrame:
     """Boolean columns ``{prefix}_{level}`` back to one text column ``prefix``."""
     columns = [c for c in df.columns if c.startswith(f"{prefix}_") and dict(df.dtypes)[c] == "boolean"]
@@ -381,11 +338,14 @@ def grid_frame(cells: DataFrame) -> DataFrame:
     return cells.agg(F.collect_set("lat").alias("lats"), F.collect_set("lon").alias("lons"))
 
 
+def target_names(model: str = "direct", sog_cog: str = "raw") -> list[str]:
+    return ["lat", "lon"] + (["sog", "cog"] if sog_cog == "raw" and model == "iterative" else [])
+
+
 def select_targets(df: DataFrame, model: str = "direct", sog_cog: str = "raw") -> DataFrame:
     """Columns a model predicts; one-step targets lose the step axis."""
-    columns = ["lat", "lon"] + (["sog", "cog"] if sog_cog == "raw" and model == "iterative" else [])
     axis = [] if model == "direct" else ["step"]
-    return df.select(*KEY, *axis, *columns)
+    return df.select(*KEY, *axis, *target_names(model, sog_cog))
 
 
 def head_sample(df: DataFrame, n: int) -> DataFrame:

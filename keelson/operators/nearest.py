@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.functions.geo import EARTH_RADIUS_KM, haversine
+from keelson.functions.geo import great_circle_km, haversine
 from keelson.operators.features import NEAREST_ARRAY, NEAREST_COUNTS, magnitude
 
 #: Edge of a tile in degrees.
@@ -57,11 +57,9 @@ def _ordered(lat: pa.Array, lon: pa.Array, candidates: pa.Array, k: int) -> tupl
     sizes = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
     row = np.repeat(np.arange(len(lists)), sizes)
     cells = lists.flatten()
-    phi, lam = (np.radians(x.to_numpy(zero_copy_only=False))[row] for x in (lat, lon))
-    to_phi, to_lam, slot = (cells.field(n).to_numpy(zero_copy_only=False) for n in ("lat", "lon", "slot"))
-    to_phi, to_lam = np.radians(to_phi), np.radians(to_lam)
-    h = np.sin((to_phi - phi) / 2) ** 2 + np.cos(phi) * np.cos(to_phi) * np.sin((to_lam - lam) / 2) ** 2
-    millimetres = np.floor(2 * EARTH_RADIUS_KM * np.arcsin(np.sqrt(np.clip(h, 0, 1))) * 1e6 + 0.5)
+    here = (x.to_numpy(zero_copy_only=False)[row] for x in (lat, lon))
+    to_lat, to_lon, slot = (cells.field(n).to_numpy(zero_copy_only=False) for n in ("lat", "lon", "slot"))
+    millimetres = np.floor(great_circle_km(*here, to_lat, to_lon) * 1e6 + 0.5)
     order = np.lexsort((slot, millimetres, row))
     place = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     return row[place < k], place[place < k], order[place < k]

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Mapping, Sequence
+from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keelson.functions.geo import CLUSTER_RADIUS_KM, haversine
+from keelson.functions.geo import CLUSTER_RADIUS_KM, great_circle_km, haversine
 from keelson.functions.ordered import CHUNK
-from keelson.functions.storage import cut
 
 KEY = ("track", "window_id")
 # Horizons in minutes counted from the common start, and the epochs between stopping checks.
@@ -68,12 +70,6 @@ def mean_error(df: DataFrame, metric: str = "haversine") -> DataFrame:
     return df.agg(F.avg(error).alias("loss"))
 
 
-def to_states(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row per window with ``state``: its steps in order as an array of structs."""
-    row = F.struct("step", F.struct(*columns).alias("values"))
-    return df.groupBy(*KEY).agg(F.transform(F.array_sort(F.collect_list(row)), lambda r: r["values"]).alias("state"))
-
-
 def advance_state(df: DataFrame, predicted: Mapping[str, Column], gap_minutes: float) -> DataFrame:
     """One autoregressive step: the oldest step leaves, the prediction joins.
 
@@ -103,28 +99,106 @@ def advance_state(df: DataFrame, predicted: Mapping[str, Column], gap_minutes: f
     return df.withColumn("state", F.concat(F.slice(state, 2, F.size(state) - 1), F.array(step)))
 
 
-def persistence(df: DataFrame) -> DataFrame:
-    """Predict that the ship stays: ``pred_lat`` and ``pred_lon`` of the last step."""
-    last = F.element_at(F.col("state"), -1)
-    return df.withColumns({"pred_lat": last["lat"], "pred_lon": last["lon"]})
+@dataclass(frozen=True)
+class Feedback:
+    """What a fed-back prediction means: the features of a step in order, and those among them that the model predicts.
+
+    ``ranges`` are those the features were normalized with; without them values are in original units.
+    """
+
+    features: tuple[str, ...]
+    outputs: tuple[str, ...] = ("lat", "lon")
+    gap_minutes: float = 60.0
+    ranges: Mapping[str, tuple[float, float]] | None = None
+
+    def read(self, values: np.ndarray, name: str) -> np.ndarray:
+        """A feature in original units."""
+        low, high = (self.ranges or {}).get(name, (0.0, 1.0))
+        return values * (high - low) + low
+
+    def store(self, values: np.ndarray, name: str) -> np.ndarray:
+        low, high = (self.ranges or {}).get(name, (0.0, 1.0))
+        return (values - low) / (high - low) if high != low else np.zeros_like(values)
+
+
+def advance(windows: np.ndarray, predicted: np.ndarray, feedback: Feedback) -> np.ndarray:
+    """:func:`advance_state` for a batch: windows x steps x features, and windows x outputs."""
+    at = {name: i for i, name in enumerate(feedback.features)}
+    steps = windows.shape[1]
+    new = windows[:, -1].copy()
+    for i, name in enumerate(feedback.outputs):
+        new[:, at[name]] = predicted[:, i]
+    if "distance_traveled" in at:
+        ends = [feedback.read(side[:, at[name]], name) for side in (windows[:, 1], new) for name in ("lat", "lon")]
+        new[:, at["distance_traveled"]] = feedback.store(great_circle_km(*ends), "distance_traveled")
+    if "day_of_week" in at:
+        hours = np.rint(feedback.read(windows[:, :, at["hour"]], "hour"))
+        changed = hours[:, 1:] != hours[:, :-1]
+        last_change = np.where(changed.any(1), steps - 2 - changed[:, ::-1].argmax(1), -1)
+        hour = hours[:, -1] + (last_change + 60.0 / feedback.gap_minutes < steps)
+        day = np.rint(feedback.read(windows[:, -1, at["day_of_week"]], "day_of_week")) + (hour > 23)
+        new[:, at["day_of_week"]] = feedback.store(day % 7, "day_of_week")
+        new[:, at["hour"]] = feedback.store(hour % 24, "hour")
+    return np.concatenate([windows[:, 1:], new[:, None]], axis=1)
+
+
+def fed_back(model: Callable[[np.ndarray], np.ndarray], rounds: int, feedback: Feedback) -> Callable[[np.ndarray], np.ndarray]:
+    """A one-step model as one of ``rounds`` steps: each prediction (windows x outputs) becomes the next one's last step."""
+
+    def ahead(windows: np.ndarray) -> np.ndarray:
+        out = []
+        for _ in range(rounds):
+            predicted = np.asarray(model(windows), float).reshape(len(windows), len(feedback.outputs))
+            out.append(predicted)
+            windows = advance(windows, predicted, feedback)
+        return np.stack(out, axis=1)
+
+    return ahead
+
+
+def with_predictions(
+    df: DataFrame, model: Callable[[np.ndarray], np.ndarray], outputs: Sequence[str] = ("lat", "lon"), sequence: str = "sequence", name: str = "predicted"
+) -> DataFrame:
+    """Add ``name``: the model's predictions as an array with a struct of ``outputs`` per step ahead.
+
+    ``model`` gets a batch of sequences as windows x steps x features (null: NaN) and returns windows x steps ahead x
+    outputs; a model of one step may leave the axis out, one that is fed its own predictions is made by
+    :func:`fed_back`.  The whole horizon runs inside the batch, so no stage is stored between steps, and only the
+    sequences go to Python.
+    """
+    columns = list(outputs)
+
+    @F.arrow_udf(f"array<struct<{', '.join(f'{c}: double' for c in columns)}>>")
+    def predict(sequences: pa.Array) -> pa.Array:
+        n = len(sequences)
+        if not n:
+            return pa.array([], pa.list_(pa.struct([(c, pa.float64()) for c in columns])))
+        steps = sequences.flatten()
+        values = steps.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(n, len(steps) // n, -1)
+        out = np.asarray(model(values), float).reshape(n, -1, len(columns))
+        flat = pa.StructArray.from_arrays([pa.array(out[:, :, i].ravel(), from_pandas=True) for i in range(len(columns))], names=columns)
+        return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * out.shape[1]), flat)
+
+    return df.withColumn(name, predict(F.col(sequence)))
+
+
+def predicted_steps(df: DataFrame, keys: Sequence[str] = KEY, name: str = "predicted") -> DataFrame:
+    """One row per window and step ahead: the keys, ``step_index`` from 0, and a ``pred_`` column per output."""
+    outputs = df.schema[name].dataType.elementType.fieldNames()
+    rows = df.select(*keys, F.posexplode(name).alias("step_index", "_p"))
+    return rows.select(*keys, "step_index", *[F.col("_p")[c].alias(f"pred_{c}") for c in outputs])
 
 
-def rollout(df: DataFrame, predictor: Callable[[DataFrame], DataFrame], rounds: int, gap_minutes: float) -> DataFrame:
-    """Predict ``rounds`` steps ahead, feeding each prediction back as input.
+def step_errors(df: DataFrame, keys: Sequence[str] = KEY, predicted: str = "predicted", true: str = "true") -> DataFrame:
+    """(keys, step_index, pred_lat, pred_lon, true_lat, true_lon, error_km) of every step ahead of windows that hold both.
 
-    Returns (track, window_id, step_index, pred_lat, pred_lon).  Each round's states are
-    written out, so plans stay short however far the horizon.
+    ``predicted`` and ``true`` are arrays of structs with lat and lon in degrees; a step that one side lacks is null.
+    Both are in the window's row, so errors need no join.
     """
-    parts, current = [], df
-    for index in range(rounds):
-        scored = cut(predictor(current))
-        parts.append(scored.select(*KEY, F.lit(index).alias("step_index"), "pred_lat", "pred_lon"))
-        following = advance_state(scored, {"lat": F.col("pred_lat"), "lon": F.col("pred_lon")}, gap_minutes)
-        current = following.drop("pred_lat", "pred_lon")
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+    rows = df.select(*keys, F.posexplode(F.arrays_zip(F.col(predicted).alias("p"), F.col(true).alias("t"))).alias("step_index", "_s"))
+    named = {f"{kind}_{c}": F.col("_s")[side][c] for kind, side in (("pred", "p"), ("true", "t")) for c in ("lat", "lon")}
+    flat = rows.select(*keys, "step_index", *[value.alias(n) for n, value in named.items()])
+    return flat.withColumn("error_km", haversine(F.col("true_lat"), F.col("true_lon"), F.col("pred_lat"), F.col("pred_lon")))
 
 
 def score(df: DataFrame, predict: Callable[[pd.Series], pd.DataFrame], columns: Sequence[str] = ("pred_lat", "pred_lon")):

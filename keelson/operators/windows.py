@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.config import Config
@@ -73,9 +74,10 @@ def one_hot(df: DataFrame, levels: Mapping[str, Sequence[str]]) -> DataFrame:
 
 
 def to_sequences(df: DataFrame, features: Sequence[str], keys: Sequence[str] = ("track", "window_id")) -> DataFrame:
-    """One row per window: ``sequence`` = steps x features of doubles.
+    """One row per window: ``sequence`` = steps x features of doubles, from rows that are already copied into windows.
 
-    A group is one window, so its size is the window length.
+    A group is one window, so its size is the window length.  From rows that are not, :func:`gathered_windows` gives
+    the same and shuffles each row once instead of every copy.
     """
     row = F.struct(F.col("step"), F.array(*[F.col(f).cast("double") for f in features]).alias("values"))
     return df.groupBy(*keys).agg(
@@ -104,37 +106,75 @@ def select_y_steps(df: DataFrame, cfg: Config, gap: int) -> DataFrame:
     return df.where((F.col("step") >= first) & ((F.col("step") - first) % stride == 0))
 
 
-def gathered_windows(df: DataFrame, cfg: Config, features: Sequence[str]) -> DataFrame:
-    """One row per window of every dataset: (dataset, track, window_id, sequence), sequence = steps x features of doubles.
+@dataclass(frozen=True)
+class Cut:
+    """How windows are cut from tracks: every ``stride`` rows, from the tracks of some splits (None: all of them)."""
+
+    kind: str
+    stride: int
+    splits: tuple[str, ...] | None = None
+
+
+def dataset_cuts(cfg: Config) -> tuple[Cut, ...]:
+    """The cuts of :func:`window_datasets`."""
+    return Cut("train", cfg.train_stride, ("train", "valid")), Cut("test", cfg.history, ("valid", "test"))
 
-    The same windows as :func:`window_datasets`, from rows that are shuffled once and before they are copied: a track
-    is cut into blocks of some window lengths, each with the first rows of the block behind it, and the windows that
-    begin in a block are slices of it.
+
+def window_blocks(df: DataFrame, cfg: Config, columns: Sequence[str]) -> DataFrame:
+    """(track, split, row_count, block) with an array per column: the rows of some window lengths of a track, in order.
+
+    A block ends with the first rows of the block behind it, so every window that begins in a block lies in it.  This
+    is the only shuffle that windows and all their features need, and it moves rows before they are copied.
     """
     length, span = cfg.window_length, _BLOCK_LENGTHS * cfg.window_length
     own = F.floor(F.col("row_index") / span).cast("bigint")
     ahead = (F.col("row_index") % span < length - 1) & (own > 0)
-    values = F.array(*[F.col(f).cast("double") for f in features]).alias("values")
+    split = F.col("split") if "split" in df.columns else F.lit(None).cast("string").alias("split")
     rows = _positioned(df).select(
-        "track", "split", "row_count", F.struct(F.col("row_index").cast("bigint").alias("at"), values).alias("row"),
+        "track", split, "row_count", F.struct(F.col("row_index").cast("bigint").alias("_at"), *[F.col(c) for c in columns]).alias("row"),
         F.explode(F.when(ahead, F.array(own, own - 1)).otherwise(F.array(own))).alias("block"),
     )
-    blocks = rows.groupBy("track", "split", "row_count", "block").agg(F.array_sort(F.collect_list("row")).alias("rows"))
-    blocks = blocks.withColumn("rows", F.transform("rows", lambda r: r["values"]))
+    blocks = rows.groupBy("track", "split", "row_count", "block").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    return blocks.select("track", "split", "row_count", "block", *[F.col("rows")[c].alias(c) for c in columns])
+
+
+def windows_of(blocks: DataFrame, cfg: Config, cuts: Sequence[Cut]) -> DataFrame:
+    """One row per window: (dataset, track, window_id), and each column's values by step as an array.
+
+    ``dataset`` is the split and the cut's kind, or the kind alone for a cut of all splits.  No shuffle.
+    """
+    length, span = cfg.window_length, _BLOCK_LENGTHS * cfg.window_length
+    columns = [c for c in blocks.columns if c not in ("track", "split", "row_count", "block")]
     begin = F.col("block") * span
 
-    def starting_here(stride: int, kind: str, *splits: str):
-        first = F.ceil(begin / stride).cast("bigint")
-        last = F.floor(F.least(begin + span - 1, F.col("row_count") - length) / stride).cast("bigint")
-        ids = F.when(F.col("split").isin(*splits) & (F.col("row_count") >= length) & (last >= first), F.sequence(first, last))
-        dataset = F.concat("split", F.lit(f"_long_term_{kind}"))
-        found = F.transform(ids, lambda w: F.struct(
-            dataset.alias("dataset"), w.alias("window_id"), F.slice("rows", (w * stride - begin + 1).cast("int"), F.lit(length)).alias("sequence")
-        ))
-        return F.coalesce(found, F.array().cast("array<struct<dataset: string, window_id: bigint, sequence: array<array<double>>>>"))
+    def starting_here(cut: Cut):
+        first = F.ceil(begin / cut.stride).cast("bigint")
+        last = F.floor(F.least(begin + span - 1, F.col("row_count") - length) / cut.stride).cast("bigint")
+        mine = F.lit(True) if cut.splits is None else F.col("split").isin(*cut.splits)
+        ids = F.when(mine & (F.col("row_count") >= length) & (last >= first), F.sequence(first, last))
+        dataset = F.lit(cut.kind) if cut.splits is None else F.concat("split", F.lit(f"_long_term_{cut.kind}"))
+        found = F.transform(ids, lambda w: F.struct(dataset.alias("dataset"), w.alias("window_id"), (w * cut.stride - begin + 1).cast("int").alias("at")))
+        return F.coalesce(found, F.array().cast("array<struct<dataset: string, window_id: bigint, at: int>>"))
+
+    each = blocks.withColumn("_w", F.explode(F.concat(*[starting_here(c) for c in cuts])))
+    return each.select("_w.dataset", "track", "_w.window_id", *[F.slice(c, F.col("_w.at"), F.lit(length)).alias(c) for c in columns])
+
+
+def at_steps(values: Column, steps: Sequence[int]) -> Column:
+    """The values of a window at some steps."""
+    if list(steps) == list(range(steps[0], steps[0] + len(steps))):
+        return F.slice(values, steps[0] + 1, len(steps))
+    return F.array(*[F.get(values, F.lit(s)) for s in steps])
 
-    both = F.concat(starting_here(cfg.train_stride, "train", "train", "valid"), starting_here(cfg.history, "test", "valid", "test"))
-    return blocks.select("track", F.inline(both)).select("dataset", "track", "window_id", "sequence")
+
+def gathered_windows(df: DataFrame, cfg: Config, features: Sequence[str]) -> DataFrame:
+    """One row per window of every dataset: (dataset, track, window_id, sequence), sequence = steps x features of doubles.
+
+    The same windows as :func:`window_datasets`, from rows that are shuffled once and before they are copied.
+    """
+    values = df.withColumn("_values", F.array(*[F.col(f).cast("double") for f in features]))
+    whole = windows_of(window_blocks(values, cfg, ["_values"]), cfg, dataset_cuts(cfg))
+    return whole.withColumnRenamed("_values", "sequence")
 
 
 def tensor_parts(df: DataFrame, cfg: Config, features: Sequence[str]) -> DataFrame:
@@ -146,6 +186,6 @@ def tensor_parts(df: DataFrame, cfg: Config, features: Sequence[str]) -> DataFra
     parts = []
     for gap in cfg.time_gaps:
         for name, steps in (("x", x_steps(cfg, gap)), ("y", y_steps(cfg, gap))):
-            picked = F.transform(F.array(*[F.lit(s + 1) for s in steps]), lambda s: F.element_at("sequence", s))
+            picked = at_steps(F.col("sequence"), steps)
             parts.append(F.struct(F.lit(gap).alias("time_gap"), F.lit(name).alias("x_or_y"), picked.alias("sequence")))
     return whole.select("dataset", "track", "window_id", F.inline(F.array(*parts)))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +9,7 @@ from keelson.functions.storage import cut
 from keelson.operators import currents as water
 from keelson.operators import features as fx
 from keelson.operators import nearest
+from keelson.operators import window_features as wf
 from keelson.operators import windows
 from keelson.plans import features as plans
 from workload import inputs
@@ -21,6 +20,7 @@ from workload.registry import big, cte, haversine_sql, q4, q4_sql, query
 KEY_SQL = "track, cast(window_id as bigint) as window_id"
 STEP_SQL = f"{KEY_SQL}, cast(step as bigint) as step"
 GAP = 3600
+TEST_CUT = (windows.Cut("test", CFG.history),)
 WK = "(partition by track, window_id)"
 
 
@@ -36,6 +36,16 @@ def history(spark, sf):
     return windows.select_x_steps(test_rows(spark, sf), CFG, GAP)
 
 
+def histories(spark, sf, columns):
+    """The history part of every test window, one row per window with an array per column; one shuffle."""
+    blocks = windows.window_blocks(inputs.resampled(spark, sf), CFG, columns)
+    return wf.select_steps(windows.windows_of(blocks, CFG, TEST_CUT), windows.x_steps(CFG, GAP))
+
+
+def history_rows(df):
+    return wf.step_rows(df, windows.x_steps(CFG, GAP))
+
+
 cte("history_rows", "select * from test_window_rows where step < 5")
 
 
@@ -78,7 +88,8 @@ _STATS_SQL = ", ".join(f"{q4_sql(f'{s}({c}) over {WK}')} as {c}_{s}" for c in ("
 
 @query("sog_cog_stats", f"select {STEP_SQL}, {_STATS_SQL} from history_rows")
 def _(spark, sf):
-    return fx.with_stats(history(spark, sf)).select(*key(), *[q4(F.col(c)).alias(c) for c in _STATS])
+    described = wf.with_window_stats(histories(spark, sf, ["sog", "cog"]))
+    return history_rows(described).select(*key(), *[q4(F.col(c)).alias(c) for c in _STATS])
 
 
 cte(
@@ -91,7 +102,8 @@ cte(
 
 @query("distance_traveled", f"select {STEP_SQL}, {q4_sql('distance_traveled')} as distance_traveled from distance_rows")
 def _(spark, sf):
-    return fx.with_distance(history(spark, sf)).select(*key(), q4(F.col("distance_traveled")).alias("distance_traveled"))
+    described = wf.with_window_distance(histories(spark, sf, ["lat", "lon"]))
+    return history_rows(described).select(*key(), q4(F.col("distance_traveled")).alias("distance_traveled"))
 
 
 _EAST = "cos(radians(lat_b)) * sin(radians(lon_b - lon))"
@@ -112,7 +124,8 @@ cte(
 )
 def _(spark, sf):
     names = ["mean_bearing_angle", "std_bearing_angle"]
-    return fx.with_bearing(history(spark, sf)).select(*key(), *[q4(F.col(c)).alias(c) for c in names])
+    described = wf.with_window_bearings(histories(spark, sf, ["lat", "lon"]))
+    return history_rows(described).select(*key(), *[q4(F.col(c)).alias(c) for c in names])
 
 
 def packed(spark, sf):
@@ -187,7 +200,7 @@ def _(spark, sf):
       from history_rows h join history_rows l on l.track = h.track and l.window_id = h.window_id and l.step = 4""",
 )
 def _(spark, sf):
-    last = fx.last_step(history(spark, sf))
+    last = wf.last_steps(histories(spark, sf, ["lat", "lon", "base_datetime", "sog"]))
     path = last.select("track", "window_id", "base_datetime", "sog", F.posexplode(F.arrays_zip("lats", "lons")).alias("at", "p"))
     return path.select(
         "track", *big("window_id", "at"), q4(F.col("p.lats")).alias("lat"), q4(F.col("p.lons")).alias("lon"),
@@ -239,11 +252,6 @@ def _bin_sql(column, size, cutoff):
     return label if cutoff is None else f"case when {low} < {cutoff} then {label} else '[{cutoff}+]' end"
 
 
-@query("bin_labels", f"select event_id, {_bin_sql('sog', 4, 16)} as sog_bin, {_bin_sql('cog', 60, None)} as cog_bin from ais")
-def _(spark, sf):
-    return fx.with_bins(inputs.messages(spark, sf), fx.BINS[:2]).select("event_id", "sog_bin", "cog_bin")
-
-
 def one_hot_rows(spark, sf):
     rows = history(spark, sf).drop("mmsi", "heading", "split")
     return windows.one_hot(rows, {"vessel_group": sorted(CFG.vessel_groups)})
@@ -301,13 +309,15 @@ _RANGED = ["lat", "lon", "sog", "cog", "year", "month", "speed_1", "speed_2", "w
 
 
 def ranged_rows(spark, sf):
-    rows = inputs.resampled(spark, sf).where(F.col("split") == "train")
-    return rows.withColumns({"speed_1": F.col("sog"), "speed_2": F.col("cog"), "water_1": F.col("sog") * 2})
+    """Rows of every dataset, and the ranges of the training rows."""
+    rows = inputs.resampled(spark, sf)
+    rows = cut(rows.withColumns({"speed_1": F.col("sog"), "speed_2": F.col("cog"), "water_1": F.col("sog") * 2}))
+    return rows, fx.fit_normalizer(rows.where(F.col("split") == "train"), BOX, CFG.years, _RANGED)
 
 
 @query("normalization_factors", f"""select "column", {q4_sql('"min"')} as "min", {q4_sql('"max"')} as "max" from ranges""")
 def _(spark, sf):
-    out = fx.fit_normalizer(ranged_rows(spark, sf), BOX, CFG.years, _RANGED)
+    _, out = ranged_rows(spark, sf)
     return out.select("column", q4(F.col("min")).alias("min"), q4(F.col("max")).alias("max"))
 
 
@@ -316,44 +326,28 @@ def _scaled_sql(c):
     return f"{q4_sql(f'case when {high} = {low} then 0 else ({c} - {low}) / ({high} - {low}) end')} as {c}"
 
 
-@query("normalize", f"select track, base_datetime, {', '.join(_scaled_sql(c) for c in _RANGED)} from {_WATER_SQL}")
-def _(spark, sf):
-    rows = cut(ranged_rows(spark, sf))
-    ranges = fx.factors(fx.fit_normalizer(rows, BOX, CFG.years, _RANGED))
-    return fx.normalize(rows, ranges).select("track", "base_datetime", *[q4(F.col(c)).alias(c) for c in _RANGED])
-
-
-@query("unnormalize", f"select track, base_datetime, {_q(['lat', 'lon', 'sog'])} from resampled where split = 'train'")
-def _(spark, sf):
-    rows = cut(ranged_rows(spark, sf))
-    ranges = fx.factors(fx.fit_normalizer(rows, BOX, CFG.years, _RANGED))
-    back = fx.unnormalize(fx.normalize(rows, ranges), ranges, ["lat", "lon", "sog"])
-    return back.select("track", "base_datetime", *[q4(F.col(c)).alias(c) for c in ("lat", "lon", "sog")])
-
-
-def every_row(spark, sf):
-    """Rows of every dataset, and the ranges of the training rows."""
-    rows = inputs.resampled(spark, sf)
-    rows = cut(rows.withColumns({"speed_1": F.col("sog"), "speed_2": F.col("cog"), "water_1": F.col("sog") * 2}))
-    return rows, fx.factors(fx.fit_normalizer(rows.where(F.col("split") == "train"), BOX, CFG.years, _RANGED))
-
-
 _EVERY_SQL = _WATER_SQL.replace(" where split = 'train'", "")
 
 
-@query("normalize_datasets", f"select track, base_datetime, split, {', '.join(_scaled_sql(c) for c in _RANGED)} from {_EVERY_SQL}")
-def _(spark, sf):
-    rows, ranges = every_row(spark, sf)
-    return fx.normalize(rows, ranges).select("track", "base_datetime", "split", *[q4(F.col(c)).alias(c) for c in _RANGED])
+def normalized(spark, sf):
+    rows, fitted = ranged_rows(spark, sf)
+    return fx.normalize(rows, fx.factors(fitted)).select("track", "base_datetime", "split", *[q4(F.col(c)).alias(c) for c in _RANGED])
 
 
-@query("unnormalize_datasets", f"select track, base_datetime, split, {_q(['lat', 'lon', 'sog'])} from resampled")
-def _(spark, sf):
-    rows, ranges = every_row(spark, sf)
+def unnormalized(spark, sf):
+    rows, fitted = ranged_rows(spark, sf)
+    ranges = fx.factors(fitted)
     back = fx.unnormalize(fx.normalize(rows, ranges), ranges, ["lat", "lon", "sog"])
     return back.select("track", "base_datetime", "split", *[q4(F.col(c)).alias(c) for c in ("lat", "lon", "sog")])
 
 
+# Every split under the ranges of the training rows; both under the operator's name and the earlier one.
+for _name in ("normalize", "normalize_datasets"):
+    query(_name, f"select track, base_datetime, split, {', '.join(_scaled_sql(c) for c in _RANGED)} from {_EVERY_SQL}")(normalized)
+for _name in ("unnormalize", "unnormalize_datasets"):
+    query(_name, f"select track, base_datetime, split, {_q(['lat', 'lon', 'sog'])} from resampled")(unnormalized)
+
+
 @query(
     "fusion_split",
     f"""select 'recurrent' as half, {STEP_SQL}, {q4_sql('lat')} as lat, cast(null as double) as cog from history_rows
@@ -402,34 +396,9 @@ def _(spark, sf):
 
 
 RUN = plans.Run(gap=GAP, history_hours=3, hours_out=2)
-cte("train_history", "select *, lat as lat_now from train_window_rows where split = 'train' and step in (1, 2, 3, 4)")
-cte(
-    "plan_rows",
-    f"""select track, window_id, step, split, lat, lon, year, month, cast(hour({LOCAL}) as double) as hour, cast(isodow({LOCAL}) - 1 as double) as day_of_week,
-      min(sog) over {WK} as sog_min, median(sog) over {WK} as sog_median, max(sog) over {WK} as sog_max,
-      min(cog) over {WK} as cog_min, median(cog) over {WK} as cog_median, max(cog) over {WK} as cog_max,
-      {haversine_sql(f'(arg_min(lat, step) over {WK})', f'(arg_min(lon, step) over {WK})', f'(arg_max(lat, step) over {WK})', f'(arg_max(lon, step) over {WK})')} as distance_traveled
-      from train_window_rows where split = 'train' and step in (1, 2, 3, 4)""",
-)
 _PLANNED = ["hour", "day_of_week", *_STATS, "distance_traveled"]
-_PLAN_SQL = ", ".join(
-    q4_sql(f"({c} - min({c}) over ()) / (max({c}) over () - min({c}) over ())") + f" as {c}" for c in _PLANNED
-)
-
 
-@query(
-    "transformation_plan",
-    f"select {STEP_SQL}, {q4_sql('(lat - 26) / 3')} as lat, {q4_sql('(lon + 85.5) / 4')} as lon, {_PLAN_SQL} from plan_rows",
-)
-def _(spark, sf):
-    rows = windows.train_windows(inputs.resampled(spark, sf), CFG)
-    train = cut(rows.where(F.col("split") == "train").drop("mmsi", "vessel_group", "split", "heading"))
-    ranges = plans.fit_ranges(train, RUN, CFG, BOX)
-    x = plans.apply_plan(train, plans.build_plan(RUN, CFG, ranges), "x")
-    return x.select(*key(), *[q4(F.col(c)).alias(c) for c in ("lat", "lon", *_PLANNED)])
-
-
-# The same plan on both halves of every dataset; numbers of windows repeat between datasets.
+# One plan on all parts of every dataset; numbers of windows repeat between datasets.
 ITERATIVE = plans.Run(gap=GAP, history_hours=3, hours_out=2, model="iterative", sog_cog="raw")
 cte("dataset_history", "select * from dataset_rows where step in (1, 2, 3, 4)")
 WD = "(partition by dataset, track, window_id)"
@@ -472,20 +441,20 @@ def _part_sql(model, part, columns, numbered, source):
     return f"select dataset, '{model}' as model, '{part}' as part, {KEY_SQL}, cast({step} as bigint) as step, {values} from {source}"
 
 
-@query("transformation_plan_datasets", " union all ".join(_part_sql(*names, *of) for names, of in _PARTS.items()))
-def _(spark, sf):
-    rows = cut(inputs.resampled(spark, sf).drop("mmsi", "vessel_group", "heading"))
-    train = windows.train_windows(rows.where(F.col("split") == "train"), CFG).drop("split")
-    datasets = windows.window_datasets(rows, CFG).drop("split")
-    runs = {"direct": RUN, "iterative": ITERATIVE}
-    ranges = {model: plans.fit_ranges(train, run, CFG, BOX) for model, run in runs.items()}
-    parts = []
-    for (model, part), (columns, numbered, _source) in _PARTS.items():
-        out = plans.shape_datasets(datasets, runs[model], CFG, ranges[model], part)
-        values = [q4(F.col(c) if c in columns else F.lit(None).cast("double")).alias(c) for c in _SHAPED]
-        step = F.col("step") if numbered else F.lit(None)
-        parts.append(out.select("dataset", F.lit(model).alias("model"), F.lit(part).alias("part"), *key(False), step.cast("bigint").alias("step"), *values))
-    return reduce(DataFrame.unionByName, parts)
+def planned(spark, sf):
+    rows = inputs.resampled(spark, sf).drop("mmsi", "vessel_group", "heading")
+    whole = windows.windows_of(cut(plans.blocks_for(rows, RUN, CFG)), CFG, windows.dataset_cuts(CFG))
+    shaped = []
+    for run, model, parts in ((RUN, "direct", plans.PARTS), (ITERATIVE, "iterative", ("x", "y"))):
+        out = plans.shape(whole, run, CFG, plans.fit_ranges(whole, run, CFG, BOX), parts)
+        there = {c: F.col(c) if c in out.columns else F.lit(None).cast("double") for c in _SHAPED}
+        values = [q4(value).alias(c) for c, value in there.items()]
+        shaped.append(out.select("dataset", F.lit(model).alias("model"), "part", *key(), *values))
+    return shaped[0].unionByName(shaped[1])
+
+
+for _name in ("transformation_plan", "transformation_plan_datasets"):
+    query(_name, " union all ".join(_part_sql(*names, *of) for names, of in _PARTS.items()))(planned)
 
 
 _ANALYSIS = ["mean_bearing_angle", "std_bearing_angle", "distance_traveled", *_COMPONENTS, *_MAGNITUDES, *_NEAR]
@@ -507,11 +476,24 @@ _BIN_NAMES = [f"{c}_bin" for c, _, _ in fx.BINS]
       from analysis_rows a join near_stats n on n.track = a.track and n.base_datetime = a.base_datetime""",
 )
 def _(spark, sf):
-    rows, index = with_currents(spark, sf)
-    out = plans.analysis_dataset(windows.test_windows(rows, CFG), index, CFG, GAP)
+    out = analysis(spark, sf)
     return out.select(*key(False), *big("hour"), *[q4(F.col(f"`{c}`")).alias(c) for c in _ANALYSIS], *_BIN_NAMES)
 
 
+def analysis(spark, sf):
+    rows, stamps = cut(inputs.resampled(spark, sf)), cut(packed(spark, sf))
+    index = cut(nearest.near_index(rows, nearest.grid_of(stamps)))
+    return plans.analysis_dataset(rows, stamps, index, CFG, GAP, TEST_CUT)
+
+
+@query(
+    "bin_labels",
+    f"""select track, cast(window_id as bigint) as window_id, {', '.join(f'{_bin_sql(c, s, k)} as {c}_bin' for c, s, k in fx.BINS)} from analysis_rows""",
+)
+def _(spark, sf):
+    return analysis(spark, sf).select(*key(False), *_BIN_NAMES)
+
+
 @query(
     "head_sample",
     f"""select {STEP_SQL}, {q4_sql('lat')} as lat from test_window_rows join (

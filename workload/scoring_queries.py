@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 
@@ -9,14 +10,13 @@ from keelson.functions.ordered import CHUNK, with_position
 from keelson.functions.storage import cut, work_folder
 from keelson.operators import features as fx
 from keelson.operators import scoring, windows
+from keelson.operators import window_features as wf
 from keelson.sources.sinks import save_predictions
 from workload import inputs
-from workload.inputs import BOX, CFG
-from workload.feature_queries import KEY_SQL, LOCAL, WK, history, key, test_rows
+from workload.inputs import CFG
+from workload.feature_queries import GAP, KEY_SQL, LOCAL, WK, key
 from workload.registry import big, cte, haversine_sql, q4, q4_sql, query
 
-RANGES = {"lat": (BOX.lat_1, BOX.lat_2), "lon": (BOX.lon_1, BOX.lon_2)}
-
 # Truth: every future step; prediction: the last history position, repeated.
 cte(
     "errors",
@@ -26,20 +26,25 @@ cte(
 )
 
 
-def truth_and_prediction(spark, sf):
-    rows = cut(test_rows(spark, sf))
-    truth = rows.where(F.col("step") >= CFG.history)
-    last = rows.where(F.col("step") == CFG.history - 1)
-    pred = last.withColumn("step", F.explode(F.array(*[F.lit(s) for s in range(CFG.history, CFG.window_length)])))
-    return truth, pred
+ALL_SPLITS = (windows.Cut("test", CFG.history, ("train", "valid", "test")),)
+FUTURE = list(range(CFG.history, CFG.window_length))
+
+
+def whole_windows(spark, sf, columns):
+    """Every test window as one row: its history steps as arrays, its future as ``true``, its split."""
+    rows = fx.with_local_time(inputs.resampled(spark, sf))
+    whole = windows.windows_of(windows.window_blocks(rows, CFG, columns), CFG, ALL_SPLITS)
+    true = F.arrays_zip(*[windows.at_steps(F.col(c), FUTURE).alias(c) for c in ("lat", "lon")])
+    histories = {c: windows.at_steps(F.col(c), windows.x_steps(CFG, GAP)) for c in columns}
+    return whole.withColumn("true", true).withColumns(histories).withColumn("split", F.substring_index("dataset", "_", 1))
 
 
 def errors(spark, sf):
-    truth, pred = truth_and_prediction(spark, sf)
-    scaled = (fx.normalize(d, RANGES) for d in (pred, truth))
-    out = scoring.haversine_error(*scaled, RANGES)
-    splits = truth.select(*scoring.KEY, "step", "split")
-    return out.join(splits, [*scoring.KEY, "step"]).withColumn("step_index", F.col("step") - CFG.history)
+    """Errors of the persistence prediction at every future step, from one pass over the windows."""
+    whole = whole_windows(spark, sf, ["lat", "lon"])
+    stays = F.array_repeat(F.struct(F.element_at("lat", -1).alias("lat"), F.element_at("lon", -1).alias("lon")), len(FUTURE))
+    out = scoring.step_errors(whole.withColumn("predicted", stays), [*scoring.KEY, "split"])
+    return out.withColumn("step", F.col("step_index") + CFG.history)
 
 
 @query("haversine_error", f"select {KEY_SQL}, cast(step as bigint) as step, {q4_sql('error_km')} as error_km from errors")
@@ -63,12 +68,7 @@ def _(spark, sf):
       union all select 'mse', {q4_sql('avg((pow(true_lat - pred_lat, 2) + pow(true_lon - pred_lon, 2)) / 2)')} from errors""",
 )
 def _(spark, sf):
-    truth, pred = truth_and_prediction(spark, sf)
-    side = {"true": truth, "pred": pred}
-    named = {
-        n: d.select(*scoring.KEY, "step", F.col("lat").alias(f"{n}_lat"), F.col("lon").alias(f"{n}_lon")) for n, d in side.items()
-    }
-    both = named["true"].join(named["pred"], [*scoring.KEY, "step"])
+    both = cut(errors(spark, sf))
     parts = [
         scoring.mean_error(both, m).select(F.lit(m).alias("metric"), q4(F.col("loss")).alias("loss")) for m in ("haversine", "mse")
     ]
@@ -79,8 +79,9 @@ _STATE = ["lat", "lon", "hour", "day_of_week", "distance_traveled"]
 
 
 def states(spark, sf):
-    rows = fx.with_distance(fx.with_local_time(history(spark, sf)))
-    return scoring.to_states(rows, _STATE)
+    whole = whole_windows(spark, sf, ["lat", "lon", "hour", "day_of_week"])
+    known = wf.with_window_distance(whole).withColumn("distance_traveled", F.array_repeat("distance_traveled", F.size("lat")))
+    return known.withColumn("state", F.arrays_zip(*_STATE)).withColumn("sequence", F.transform("state", lambda s: F.array(*[s[c].cast("double") for c in _STATE])))
 
 
 # The new step: last position moved by a thousandth, the clock advanced, the distance from step 1.
@@ -123,20 +124,41 @@ def last_position(sequences: pd.Series) -> pd.DataFrame:
 
 @query("batch_score", f"select {KEY_SQL}, {q4_sql('lat')} as pred_lat, {q4_sql('lon')} as pred_lon from history_rows where step = 4")
 def _(spark, sf):
-    sequences = windows.to_sequences(history(spark, sf), ["lat", "lon"])
-    out = scoring.score(sequences, last_position)
+    out = scoring.score(states(spark, sf), last_position)
     return out.select(*key(False), q4(F.col("pred_lat")).alias("pred_lat"), q4(F.col("pred_lon")).alias("pred_lon"))
 
 
+def straight_on(sequences: np.ndarray) -> np.ndarray:
+    """A model of all future steps at once: the last hop, repeated."""
+    last, hop = sequences[:, -1, :2], sequences[:, -1, :2] - sequences[:, -2, :2]
+    return last[:, None, :] + hop[:, None, :] * np.arange(1, len(FUTURE) + 1)[None, :, None]
+
+
 @query(
     "iterative_rollout",
     f"select {KEY_SQL}, cast(step - 5 as bigint) as step_index, {q4_sql('pred_lat')} as pred_lat, {q4_sql('pred_lon')} as pred_lon from errors",
 )
 def _(spark, sf):
-    out = scoring.rollout(states(spark, sf), scoring.persistence, CFG.future + 1, 60)
+    feedback = scoring.Feedback(tuple(_STATE), gap_minutes=60)
+    ahead = scoring.fed_back(lambda sequences: sequences[:, -1, :2], len(FUTURE), feedback)
+    out = scoring.predicted_steps(scoring.with_predictions(states(spark, sf), ahead))
     return out.select(*key(False), *big("step_index"), q4(F.col("pred_lat")).alias("pred_lat"), q4(F.col("pred_lon")).alias("pred_lon"))
 
 
+@query(
+    "multi_step_score",
+    f"""select {KEY_SQL}, cast(step_index as bigint) as step_index, {q4_sql('pred_lat')} as pred_lat, {q4_sql('pred_lon')} as pred_lon,
+      {q4_sql(haversine_sql('true_lat', 'true_lon', 'pred_lat', 'pred_lon'))} as error_km
+      from (select y.track, y.window_id, y.step - 5 as step_index, y.lat as true_lat, y.lon as true_lon,
+          b.lat + (b.lat - a.lat) * (y.step - 4) as pred_lat, b.lon + (b.lon - a.lon) * (y.step - 4) as pred_lon
+        from test_window_rows y join history_rows a on a.track = y.track and a.window_id = y.window_id and a.step = 3
+          join history_rows b on b.track = y.track and b.window_id = y.window_id and b.step = 4 where y.step >= 5)""",
+)
+def _(spark, sf):
+    out = scoring.step_errors(scoring.with_predictions(states(spark, sf), straight_on))
+    return out.select(*key(False), *big("step_index"), *[q4(F.col(c)).alias(c) for c in ("pred_lat", "pred_lon", "error_km")])
+
+
 def by_hour(spark, sf):
     return errors(spark, sf).where(F.col("step_index") <= 2).withColumn("hour", F.col("step_index") + 1)
 
@@ -149,10 +171,7 @@ def by_hour(spark, sf):
 def _(spark, sf):
     columns = [*scoring.KEY, "split", "hour", "pred_lat", "pred_lon", "error_km"]
     saved = save_predictions(by_hour(spark, sf).select(*columns), work_folder(spark, "predictions"))
-    degrees = {f"pred_{n}": F.col(f"pred_{n}") * (high - low) + low for n, (low, high) in RANGES.items()}
-    return saved.select(
-        *key(False), "split", *big("hour"), *[q4(c).alias(n) for n, c in degrees.items()], q4(F.col("error_km")).alias("error_km")
-    )
+    return saved.select(*key(False), "split", *big("hour"), *[q4(F.col(c)).alias(c) for c in ("pred_lat", "pred_lon", "error_km")])
 
 
 cte(

@@ -110,7 +110,8 @@ def _(spark, sf):
       from test_window_rows""",
 )
 def _(spark, sf):
-    sequences = windows.to_sequences(windows.test_windows(inputs.resampled(spark, sf), CFG), ["lat", "lon", "sog"])
+    rows = inputs.resampled(spark, sf).withColumn("sequence", F.array("lat", "lon", "sog"))
+    sequences = windows.windows_of(windows.window_blocks(rows, CFG, ["sequence"]), CFG, (windows.Cut("test", CFG.history),))
     rows = sequences.select("track", "window_id", F.posexplode("sequence").alias("step", "row"))
     return rows.select("track", *big("window_id", "step"), q4(F.col("row")[0]).alias("lat"), q4(F.col("row")[2]).alias("sog"))
 
