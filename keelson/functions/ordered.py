@@ -10,6 +10,7 @@ row after, running counts) is computed on one summary row per chunk and joined b
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -56,6 +57,28 @@ def with_chunk(
     )
 
 
+def by_chunk(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows dealt out by (key, chunk): the one exchange that row windows and chunk summaries share.
+
+    Rows without a key or time, which no join on (key, chunk) would meet, are left out here, so that both readers of
+    the exchange ask for the same filter.
+    """
+    there = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, CHUNK)])
+    return df.where(there).repartition(*keys, CHUNK)
+
+
+def chunk_summaries(dealt: DataFrame, keys: Sequence[str], *summaries: Column) -> DataFrame:
+    """One row per (key, chunk) of :func:`by_chunk` rows with some aggregates.
+
+    The aggregate reads every column of the row, if only to keep one row whole.  Its input is then the very exchange
+    that the row windows read, which Spark computes once; a narrower input would be a second one, with all that is
+    before it computed again.
+    """
+    kept = F.any_value(F.struct(*[F.col(f"`{c}`") for c in dealt.columns])).alias("_kept")
+    out = dealt.groupBy(*keys, CHUNK).agg(*summaries, kept)
+    return out.where(F.col("_kept").isNotNull()).drop("_kept")
+
+
 def with_neighbours(
     df: DataFrame,
     keys: Sequence[str],
@@ -70,6 +93,7 @@ def with_neighbours(
     """
     row = F.struct(*columns)
     rank = F.struct(*order)
+    dealt = by_chunk(df, keys)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     local = {"prev": F.lag(row).over(inside), "next": F.lead(row).over(inside)}
     edge_aggregates = []
@@ -85,13 +109,9 @@ def with_neighbours(
         "head": lambda: F.first("_first").over(whole),
         "tail": lambda: F.last("_last").over(whole),
     }
-    edges = (
-        df.groupBy(*keys, CHUNK)
-        .agg(*edge_aggregates)
-        .select(*keys, CHUNK, *[edge[w]().alias(f"_edge_{w}") for w in want])
-    )
+    edges = chunk_summaries(dealt, keys, *edge_aggregates).select(*keys, CHUNK, *[edge[w]().alias(f"_edge_{w}") for w in want])
     near = [w for w in want if w in local]
-    out = df.withColumns({f"_near_{w}": local[w] for w in near}).join(edges, [*keys, CHUNK])
+    out = dealt.withColumns({f"_near_{w}": local[w] for w in near}).join(edges, [*keys, CHUNK])
     return out.withColumns(
         {f"_{w}": F.coalesce(f"_near_{w}", f"_edge_{w}") if w in local else F.col(f"_edge_{w}") for w in want}
     ).drop(*[f"_near_{w}" for w in near], *[f"_edge_{w}" for w in want])
@@ -99,22 +119,19 @@ def with_neighbours(
 
 def with_position(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Add ``row_index`` (0-based) and ``row_count`` of each row inside its key."""
+    dealt = by_chunk(df, keys)
     inside = Window.partitionBy(*keys, CHUNK).orderBy(*order)
     across = Window.partitionBy(*keys).orderBy(CHUNK)
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     whole = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    sizes = (
-        df.groupBy(*keys, CHUNK)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select(
-            *keys,
-            CHUNK,
-            F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"),
-            F.sum("_n").over(whole).alias("row_count"),
-        )
+    sizes = chunk_summaries(dealt, keys, F.count(F.lit(1)).alias("_n")).select(
+        *keys,
+        CHUNK,
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"),
+        F.sum("_n").over(whole).alias("row_count"),
     )
     return (
-        df.withColumn("_at", F.row_number().over(inside))
+        dealt.withColumn("_at", F.row_number().over(inside))
         .join(sizes, [*keys, CHUNK])
         .withColumn("row_index", F.col("_base") + F.col("_at") - 1)
         .drop("_base", "_at")

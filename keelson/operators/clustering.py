@@ -8,7 +8,6 @@ inside it are ever formed.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -299,7 +298,10 @@ def dbscan_runs(df: DataFrame, runs: Sequence[tuple[float, int]], key: str = "tr
     named = spots.join(numbered, ["run", "label"], "left").select(
         *RUN, "lat", "lon", "is_core", F.coalesce("cluster", F.lit(-1)).cast("bigint").alias("cluster")
     )
-    return df.join(named, ["lat", "lon"])
+    # A position that lacks a coordinate is nobody's neighbour; its row stays, as noise of every run.
+    spot = named.withColumnsRenamed({"lat": "_lat", "lon": "_lon"})
+    at = df["lat"].eqNullSafe(spot["_lat"]) & df["lon"].eqNullSafe(spot["_lon"])
+    return df.join(spot, at).drop("_lat", "_lon")
 
 
 def dbscan(df: DataFrame, eps_km: float, min_pts: int, key: str = "track", direct_pairs: int = DIRECT_PAIRS) -> DataFrame:
@@ -392,50 +394,13 @@ def assign_destination_nearest(df: DataFrame, labelled: DataFrame, eps_km: float
     return df.join(found, ["lat", "lon"], "left").withColumn("cluster", F.coalesce("cluster", F.lit(-1)).cast("bigint"))
 
 
-def fit_destination_model(labelled: DataFrame, holdout: int = 1000, seed: str = "83845640", fit_rows: int = 1_000_000):
-    """(model, report): a random forest from position to cluster, scored on held-out rows.
-
-    ``holdout`` rows are kept from the fit, and of the others at most ``fit_rows`` are fitted on, both drawn by a
-    seeded digest of the track; a table without more than ``holdout`` rows raises.  Any number of clusters is
-    allowed; trees are 25 deep up to 100 clusters and lose a level each time that number doubles, as every node
-    keeps a count per cluster.  The report has the rows tested, the correct ones, their share, and the wrong ones
-    involving noise.  The model adds ``cluster_name``, the predicted cluster as text.
-    """
-    from pyspark.ml import Pipeline
-    from pyspark.ml.classification import RandomForestClassifier
-    from pyspark.ml.feature import IndexToString, StringIndexer, VectorAssembler
-
-    rows = shuffled_rank(labelled, seed, F.col("track"))
-    rows = cut(rows.select("track", "lat", "lon", F.col("cluster").cast("string").alias("name"), "rank"))
-    fitted = rows.where((F.col("rank") > holdout) & (F.col("rank") <= holdout + fit_rows))
-    if fitted.isEmpty():
-        raise ValueError(f"{holdout} rows are held out and none is left to fit on")
-    names = StringIndexer(inputCol="name", outputCol="label", handleInvalid="keep").fit(rows)
-    depth = 25 - max(0, math.ceil(math.log2(len(names.labels) / 100)))
-    forest = RandomForestClassifier(
-        numTrees=100, maxDepth=depth, subsamplingRate=0.8, featureSubsetStrategy="all", impurity="gini",
-        labelCol="label", featuresCol="features", seed=int(seed),
-    )
-    back = IndexToString(inputCol="prediction", outputCol="cluster_name", labels=[*names.labels, "-1"])
-    steps = Pipeline(stages=[names, VectorAssembler(inputCols=["lat", "lon"], outputCol="features"), forest, back])
-    model = steps.fit(fitted)
-    tested = model.transform(rows.where(F.col("rank") <= holdout))
-    right = F.col("cluster_name") == F.col("name")
-    report = tested.agg(
-        F.count(F.lit(1)).alias("tested"),
-        F.count_if(right).alias("correct"),
-        F.avg(right.cast("double")).alias("accuracy"),
-        F.count_if(~right & ((F.col("cluster_name") == "-1") | (F.col("name") == "-1"))).alias("wrong_with_noise"),
-    )
-    return model, report
-
-
 def assign_destination(df: DataFrame, model, centers: DataFrame) -> DataFrame:
     """Every row of a track gets the cluster predicted for its last row, and that cluster's center.
 
-    No row is lost: a cluster without a center has null coordinates, a track without a prediction a null cluster.
+    ``model`` is one of :func:`keelson.operators.destinations.fit_destination_model`.  No row is lost: a cluster without
+    a center has null coordinates, a track without a final position is noise.
     """
-    last = model.transform(final_messages(df).select("track", "lat", "lon", F.lit(None).cast("string").alias("name")))
-    predicted = last.select("track", F.col("cluster_name").cast("bigint").alias("cluster")).join(centers, "cluster", "left")
+    last = final_messages(df).select("track", "lat", "lon")
+    predicted = model.transform(last).join(centers, "cluster", "left")
     named = predicted.withColumn("destination_cluster", F.col("cluster").cast("string")).drop("cluster")
     return df.join(named, "track", "left")

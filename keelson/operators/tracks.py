@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from keelson.config import Config
 from keelson.functions.clock import month_of, year_of
-from keelson.functions.ordered import CHUNK, shuffled_rank, with_chunk
+from keelson.functions.ordered import CHUNK, by_chunk, chunk_summaries, shuffled_rank, with_chunk
 
 # Fixed value: track = mmsi * this + number of the track within its ship, from 1.
 TRACKS_PER_SHIP = 1_000_000
@@ -21,20 +21,13 @@ def assign_tracks(df: DataFrame, cfg: Config, keys: Sequence[str] = ("mmsi",)) -
     Counting runs inside (ship, chunk); the number of tracks begun in earlier chunks comes
     from a summary row per chunk, so a very busy ship is never one task.
     """
-    rows = with_chunk(df, keys, hot_rows=cfg.hot_rows)
+    rows = by_chunk(with_chunk(df, keys, hot_rows=cfg.hot_rows), keys)
     inside = Window.partitionBy(*keys, CHUNK).orderBy("base_datetime", "event_id")
-    by_time = Window.partitionBy(*keys, CHUNK).orderBy("base_datetime")
     now = F.col("base_datetime")
-
-    def breaks(window):
-        return F.coalesce((now - F.lag(now).over(window) > cfg.track_gap).cast("int"), F.lit(0))
-
+    broken = rows.withColumn("_break", F.coalesce((now - F.lag(now).over(inside) > cfg.track_gap).cast("int"), F.lit(0)))
     across = Window.partitionBy(*keys).orderBy(CHUNK)
     summary = (
-        rows.select(*keys, CHUNK, "base_datetime")
-        .withColumn("_break", breaks(by_time))
-        .groupBy(*keys, CHUNK)
-        .agg(F.min(now).alias("_first"), F.max(now).alias("_last"), F.sum("_break").alias("_breaks"))
+        chunk_summaries(broken, keys, F.min(now).alias("_first"), F.max(now).alias("_last"), F.sum("_break").alias("_breaks"))
         .withColumn("_gap", F.col("_first") - F.lag("_last").over(across))
         .withColumn("_starts", (F.col("_gap").isNull() | (F.col("_gap") > cfg.track_gap)).cast("int"))
         .withColumn("_upto", F.sum(F.col("_starts") + F.col("_breaks")).over(across.rowsBetween(Window.unboundedPreceding, 0)))
@@ -48,8 +41,7 @@ def assign_tracks(df: DataFrame, cfg: Config, keys: Sequence[str] = ("mmsi",)) -
         F.raise_error(too_many).cast("bigint")
     )
     return (
-        rows.withColumn("_break", breaks(inside))
-        .join(summary, [*keys, CHUNK])
+        broken.join(summary, [*keys, CHUNK])
         .withColumn("_number", number)
         .withColumn("track", F.col("mmsi").cast("bigint") * TRACKS_PER_SHIP + checked)
         .drop("_break", "_base", "_number")

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from keelson.config import Config
+from keelson.functions import ordered
 from keelson.functions.names import to_snake_case
 from keelson.operators import cleaning, resample, tracks
 from keelson.sources import catalogue, messages
@@ -123,6 +124,7 @@ def test_speed_rule_runs_until_nothing_drops(spark):
 
 def test_snake_case():
     cases = {"BaseDatetime": "base_datetime", "TransceiverClass": "transceiver_class", "MMSI": "mmsi", "VesselType": "vessel_type"}
+    cases |= {"CargoWeight": "cargo_weight", "IMONumber": "imo_number", "shipName2": "ship_name2", "Port Of-Call": "port_of_call", "snake_case": "snake_case", "X": "x", "_": "_"}
     assert {k: to_snake_case(k) for k in cases} == cases
 
 
@@ -157,3 +159,27 @@ def test_files_of_other_column_order_raise_with_bad_records_kept(spark, tmp_path
     (tmp_path / "b.csv").write_text("MMSI,LON,LAT\n2,3.0,2.0\n")
     with pytest.raises(Exception, match="(?i)header"):
         messages.read_messages(spark, str(tmp_path), bad_record="bad").collect()
+
+
+def test_rows_and_chunk_summaries_share_one_scan_and_one_exchange(spark, tmp_path):
+    spark.range(3000).selectExpr(
+        "id as event_id", "cast(201000000 + id % 7 as string) as mmsi", "id * 50 as base_datetime", "id / 1000D as lat", "2D as lon"
+    ).write.parquet(str(tmp_path / "rows"))
+    df = spark.read.parquet(str(tmp_path / "rows"))
+    steps = {
+        "track": lambda: tracks.assign_tracks(df, CFG), "stationary": lambda: cleaning.flag_stationary(df, CFG),
+        "speed": lambda: cleaning.flag_speed_outliers(df, CFG), "position": lambda: ordered.with_position(ordered.with_chunk(df), ["mmsi"], ["base_datetime", "event_id"]),
+    }
+    for name, step in steps.items():
+        out = step()
+        out.collect()
+        text = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        # the rows' exchange is read again by the summaries; the others are a row per chunk
+        assert (name, text.count("FileScan"), text.count("ReusedExchange")) == (name, 1, 1)
+
+
+def test_rows_without_ship_or_time_are_left_out(spark):
+    rows = [("1", 1, 0, 1.0, 1.0), (None, 2, 5, 1.0, 1.0), ("1", 3, None, 1.0, 1.0), ("1", 4, 60, 2.0, 1.0)]
+    df = spark.createDataFrame(rows, "mmsi string, event_id long, base_datetime long, lat double, lon double")
+    assert sorted(r["event_id"] for r in tracks.assign_tracks(df, CFG).collect()) == [1, 4]
+    assert sorted(r["event_id"] for r in cleaning.flag_stationary(df, CFG).collect()) == [1, 4]

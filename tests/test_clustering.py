@@ -2,8 +2,9 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from keelson.operators import clustering
+from keelson.operators import clustering, destinations
 
 
 def distances(points):
@@ -95,16 +96,69 @@ def test_nearest_core_wins(spark):
 
 
 def test_destination_model_takes_many_clusters_and_loses_no_row(spark):
-    rows = [(i, str(i), 0, 1.0 * (i % 150), 2.0 * (i % 150), i % 150 - 1, i) for i in range(900)]
-    points = spark.createDataFrame(rows, "track long, mmsi string, base_datetime long, lat double, lon double, cluster long, event_id long")
-    model, report = clustering.fit_destination_model(points, holdout=100)
-    found = report.first()
-    assert found["tested"] == 100 and found["accuracy"] == found["correct"] / 100
-    centers = clustering.cluster_centers(points).where("cluster <> 3")
-    out = clustering.assign_destination(points.drop("cluster"), model, centers)
-    assert out.count() == 900 and out.where("destination_cluster = '3' and destination_cluster_lat_center is not null").isEmpty()
+    points = spark.range(900).select(
+        F.col("id").alias("track"), F.col("id").alias("event_id"), F.lit("1").alias("mmsi"), F.lit(0).alias("base_datetime"),
+        (F.col("id") % 300 % 17 / 3.1).alias("lat"), (F.floor(F.col("id") % 300 / 17) / 2.9).alias("lon"), (F.col("id") % 300).alias("cluster"),
+    )
+    model, report = destinations.fit_destination_model(points, holdout=100, trees=20)
+    row = report.first()
+    assert row["tested"] == 100 and row["correct"] >= 95 and row["oob_rows"] >= 750 and row["oob_accuracy"] >= 0.9
+    centers = clustering.cluster_centers(points.where("cluster <> 3"))
+    lost = spark.createDataFrame([(5000, 1, "1", 0, None, 1.0), (5001, 1, "1", 0, 80.0, 80.0)], points.drop("cluster").schema)
+    out = clustering.assign_destination(points.drop("cluster").unionByName(lost), model, centers)
+    assert out.count() == 902 and out.where("destination_cluster = '3' and destination_cluster_lat_center is not null").isEmpty()
+    assert {r["destination_cluster"] for r in out.where("track >= 5000").collect()} == {"-1"}
     with pytest.raises(ValueError, match="held out"):
-        clustering.fit_destination_model(points, holdout=900)
+        destinations.fit_destination_model(points, holdout=900)
+
+
+def test_sixty_thousand_clusters_fit(spark):
+    at = F.floor(F.col("id") / 3)
+    points = spark.range(180_000).select(
+        F.col("id").alias("track"), ((at / 600).cast("int") * 0.9 - 80 + (F.col("id") % 3) / 100).alias("lat"), (at % 600 * 0.6 - 179).alias("lon"), at.alias("cluster")
+    )
+    model, report = destinations.fit_destination_model(points, holdout=3000, trees=5)
+    row = report.first()
+    assert row["tested"] == 3000 and row["accuracy"] > 0.97 and model.forests.select(F.explode("label").alias("c")).distinct().count() > 58_000
+
+
+def test_cuts_are_the_best_of_all():
+    rng = np.random.default_rng(2)
+    for _ in range(60):
+        n = int(rng.integers(2, 30))
+        x, y, w = rng.integers(0, 8, n).astype(float), rng.integers(0, 4, n), rng.integers(1, 4, n).astype(float)
+
+        def impurity(side):
+            weights = np.bincount(y[side], w[side])
+            return weights.sum() - (weights**2).sum() / weights.sum()
+
+        want = min((impurity(x <= c) + impurity(x > c) for c in np.unique(x)[:-1]), default=np.inf)
+        score, threshold = destinations.best_split(x, y, w)
+        if np.isfinite(want):
+            assert w.sum() + score == pytest.approx(want)
+            assert impurity(x <= threshold) + impurity(x > threshold) == pytest.approx(want)
+        else:
+            assert score == np.inf
+
+
+def test_forest_tells_apart_what_cuts_can_tell_apart():
+    rng = np.random.default_rng(7)
+    points = rng.random((400, 2))
+    labels = (points[:, 0] > 0.5).astype(np.int64) * 10 + (points[:, 1] > 0.3).astype(np.int64)
+    forest = destinations.fit_forest(points, labels, 30, 25, 0.8, rng)
+    fresh = rng.random((500, 2))
+    truth = (fresh[:, 0] > 0.5) * 10 + (fresh[:, 1] > 0.3)
+    assert (destinations.majority(destinations.votes(forest, fresh))[0] == truth).mean() > 0.96
+    assert forest["oob_rows"] == 400 and forest["oob_correct"] > 380
+    stump = destinations.grow(points, labels % 10, np.ones(400), 0)
+    assert stump["feature"] == [-1]
+
+
+def test_positions_without_a_coordinate_stay_as_noise(spark):
+    rows = [(i, "1", 1.0 + i / 1000, 1.0) for i in range(4)] + [(9, "1", None, 1.0), (10, "1", None, None)]
+    df = spark.createDataFrame(rows, "track long, mmsi string, lat double, lon double")
+    got = {r["track"]: (r["is_core"], r["cluster"]) for r in clustering.dbscan(df, 5.0, 3).collect()}
+    assert got == {0: (True, 0), 1: (True, 0), 2: (True, 0), 3: (True, 0), 9: (False, -1), 10: (False, -1)}
 
 
 def test_points_without_enough_neighbours_stay_in_the_curve(spark):

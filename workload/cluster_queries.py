@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keelson.functions.storage import cut
-from keelson.operators import clustering
+from keelson.operators import clustering, destinations
 from workload import inputs
 from workload.inputs import CLUSTER_RUNS, EPS_KM, MIN_PTS
 from workload.registry import big, cte, haversine_sql, q4, q4_sql, query
@@ -150,34 +150,50 @@ def _(spark, sf):
 
 def holdout(spark, sf):
     """The model and its report, with 100 points held out: the tables are small here."""
-    return clustering.fit_destination_model(labelled(spark, sf), holdout=100)
+    return destinations.fit_destination_model(labelled(spark, sf), holdout=100)
 
 
-@query("destination_classifier", "select least(count(*), 100) as tested, true as accurate, true as noise_counted from finals")
+@query(
+    "destination_classifier",
+    "select least(count(*), 100) as tested, true as accurate, true as noise_counted, greatest(count(*) - 100, 0) as fitted, greatest(count(*) - 100, 0) as oob_rows, true as oob_near_held_out from finals",
+)
 def _(spark, sf):
     accurate = F.col("correct") >= 0.9 * F.col("tested")
     noise = F.col("wrong_with_noise") <= F.col("tested") - F.col("correct")
-    return holdout(spark, sf)[1].select(*big("tested"), accurate.alias("accurate"), noise.alias("noise_counted"))
+    model, report = holdout(spark, sf)
+    fitted = model.forests.agg(F.sum("rows").alias("fitted"))
+    return report.join(fitted, F.lit(True)).select(
+        *big("tested"), accurate.alias("accurate"), noise.alias("noise_counted"), *big("fitted"),
+        *big("oob_rows"), (F.abs(F.col("oob_accuracy") - F.col("accuracy")) <= 0.1).alias("oob_near_held_out"),
+    )
 
 
 @query(
     "assign_destination",
-    """select count(*) as n_rows, count(distinct track) as n_tracks, true as one_destination_a_track, true as near_the_nearest from long_rows""",
+    """select count(*) as n_rows, count(distinct track) as n_tracks, true as one_destination_a_track, true as near_the_nearest,
+      count(*) as with_center, true as at_its_center from long_rows""",
 )
 def _(spark, sf):
     """No row lost, one destination a track, and nine tracks of ten where the nearest core point says."""
     points = labelled(spark, sf)
-    model, _report = clustering.fit_destination_model(points, holdout=100)
+    model, _report = destinations.fit_destination_model(points, holdout=100)
     rows = inputs.long_tracks(spark, sf)
     placed = clustering.assign_destination(rows, model, clustering.cluster_centers(points))
     nearest = clustering.assign_destination_nearest(finals(spark, sf), points, EPS_KM).select("track", "cluster")
+    center = F.struct("destination_cluster_lat_center", "destination_cluster_lon_center")
     tracks = placed.groupBy("track").agg(
-        F.count(F.lit(1)).alias("n"), F.min("destination_cluster").alias("lo"), F.max("destination_cluster").alias("hi")
+        F.count(F.lit(1)).alias("n"), F.min("destination_cluster").alias("lo"), F.max("destination_cluster").alias("hi"),
+        F.count("destination_cluster_lat_center").alias("centered"), F.min(center).alias("center"), F.max(center).alias("last_center"),
     ).join(nearest, "track", "left")
+    means = points.groupBy(F.col("cluster").cast("string").alias("lo")).agg(F.avg("lat").alias("mean_lat"), F.avg("lon").alias("mean_lon"))
+    tracks = tracks.join(means, "lo", "left")
+    there = (F.col("center") == F.col("last_center")) & (F.abs(F.col("center")["destination_cluster_lat_center"] - F.col("mean_lat")) < 1e-9)
+    there = there & (F.abs(F.col("center")["destination_cluster_lon_center"] - F.col("mean_lon")) < 1e-9)
     agrees = F.avg(F.col("lo").eqNullSafe(F.col("cluster").cast("string")).cast("double")) >= 0.9
     return tracks.agg(
         F.sum("n").alias("n_rows"), F.count(F.lit(1)).alias("n_tracks"),
         F.bool_and(F.col("lo") == F.col("hi")).alias("one_destination_a_track"), agrees.alias("near_the_nearest"),
+        F.sum("centered").alias("with_center"), F.bool_and(there).alias("at_its_center"),
     )
 
 
