@@ -21,7 +21,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from keelson.functions.storage import cut
 from keelson.llm import tokens
@@ -146,29 +145,24 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = 2048, end_id:
     ahead = Window.partitionBy("length").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = cut(by_part.select("length", "part", F.coalesce(F.sum("here").over(ahead), F.lit(0)).alias("before")))
     ranked = pieces.join(starts, ["length", "part"]).withColumn("rank", F.col("before") + F.col("nth")).drop("before", "nth", "part")
-    placed = T.StructType([*ranked.drop("rank").schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
-    names = placed.names
     shared = spark.sparkContext.broadcast(runs)  # its size depends on the capacity alone
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("struct<sequence_id: bigint, offset: bigint>")
+    def place(size: pa.Array, rank: pa.Array) -> pa.Array:
         runs = shared.value
-        order = np.lexsort((runs[:, 1], runs[:, 0]))
-        length, first_rank, _, sequence, each, offset = runs[order].T
-        bounds = {int(n): i for n, i in zip(*np.unique(length, return_index=True))}
-        ends = {int(n): int(c) for n, c in zip(*np.unique(length, return_counts=True))}
-        for batch in batches:
-            size = batch.column("length").to_numpy()
-            rank = batch.column("rank").to_numpy()
-            at = np.empty(len(size), np.int64)
-            for n in np.unique(size).tolist():
-                mine = size == n
-                ranks = first_rank[bounds[n] : bounds[n] + ends[n]]
-                at[mine] = bounds[n] + np.searchsorted(ranks, rank[mine], side="right") - 1
-            within = rank - first_rank[at]
-            columns = [batch.column(c) for c in names[:-2]]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(sequence[at] + within // each[at]), pa.array(offset[at] + within % each[at] * size)], names=names)
-
-    return ranked.mapInArrow(run, placed)
+        length, first_rank, _, sequence, each, offset = runs[np.lexsort((runs[:, 1], runs[:, 0]))].T
+        size, rank = size.to_numpy(), rank.to_numpy()
+        at = np.empty(len(size), np.int64)
+        for n in np.unique(size).tolist():
+            mine = size == n
+            first, last = np.searchsorted(length, [n, n + 1])
+            at[mine] = first + np.searchsorted(first_rank[first:last], rank[mine], side="right") - 1
+        within = rank - first_rank[at]
+        return pa.StructArray.from_arrays([pa.array(sequence[at] + within // each[at]), pa.array(offset[at] + within % each[at] * size)], names=["sequence_id", "offset"])
+
+    # only length and rank go to Python here; the ids stay where they are
+    placed = ranked.withColumn("placed", place("length", "rank"))
+    return placed.select(*[c for c in ranked.columns if c != "rank"], "placed.sequence_id", "placed.offset")
 
 
 def sequences(packed: DataFrame) -> DataFrame:
