@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 
 from keelson.functions.storage import cut
 from keelson.llm.copies import LAST_ID, word_copies, words_digests
-from keelson.llm.exact_dedup import without
 from keelson.llm.rows import free_name, mix64, names_of, ramps, row_key, sliced, split_words, texts_of, word_hashes
 
 #: A perfect difference cover: each difference modulo 31 once.
@@ -155,6 +154,7 @@ def find_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     found = anchors.select("unit", F.posexplode("anchors").alias("nth", "anchor")).join(shared, "anchor")
     flagged = cut(found.groupBy("unit").agg(F.collect_set("nth").alias("shared")))
     named = flagged.join(scanned.select("unit", "row_key", "rank_id"), "unit").join(copies.select("row_key"), "row_key", "left_anti")
+    named = named.dropDuplicates(["row_key"])  # rows that agree in id and text are looked at once
     texts = texts_of(docs).select("row_key", "text")
     suspects = cut(named.join(texts, "row_key").dropDuplicates(["row_key"]))
     windows = _candidate_windows(suspects, window)
@@ -194,10 +194,10 @@ def drop_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
     """
     key, kept = free_name("_row_key", docs), free_name("_kept_text", docs)
     found = cut(find_repeats(docs, window).where("n_removed > 0").select("row_key", F.col("kept_text").alias(kept)).distinct())
-    empty = F.coalesce(kept, F.lit("")) == ""
-    left = without(docs, found.where(empty).select("row_key"))
-    marked = left.withColumn(key, row_key(left["doc_id"], left["text"].cast("string")))
-    changed = marked.join(found.where(~empty).withColumnRenamed("row_key", key), key, "left")
+    # one join for both: an empty kept text takes its document away
+    marked = docs.withColumn(key, row_key(docs["doc_id"], docs["text"].cast("string")))
+    joined = marked.join(found.withColumn(kept, F.coalesce(kept, F.lit(""))).withColumnRenamed("row_key", key), key, "left")
+    changed = joined.where(F.col(kept).isNull() | (F.col(kept) != ""))
     columns = []
     for c in docs.columns:
         if c == "text":
