@@ -227,13 +227,15 @@ def find_classes(docs: DataFrame, threshold: float = THRESHOLD, bands: int = BAN
     """One row per row of ``docs``: row_key, doc_id, n_words, class_id (id of the class's representative), class_key, kept."""
     scanned = cut(scan(docs, bands, rows).withColumn("node", F.monotonically_increasing_id()))
     copies = cut(word_copies(scanned))
-    units = scanned.join(copies.select("row_key"), "row_key", "left_anti")
+    # rows that agree in id and text share a key: one node stands for all of them, so their text is shingled once
+    repeated = scanned.groupBy("row_key").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("first")).where("n > 1").select("row_key", "first")
+    units = scanned.join(copies.select("row_key"), "row_key", "left_anti").join(cut(repeated), "row_key", "left").where("first is null or node = first").drop("first")
     banded = units.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = cut(banded.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket"))
     live = cut(banded.join(shared, "bucket"))
     keys = live.select("node").distinct().join(scanned.select("node", "row_key"), "node")
-    texts = texts_of(docs).select("row_key", "text").join(keys, "row_key")
-    bags = cut(_bags(texts).dropDuplicates(["node"]))
+    texts = texts_of(docs).select("row_key", "text").join(keys, "row_key").dropDuplicates(["node"])
+    bags = cut(_bags(texts))
     labels = _classes(live, bags, threshold, block_cells)
 
     of_unit = units.select("node", "row_key", "rank_id", "doc_id").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

@@ -100,6 +100,20 @@ def test_a_large_family_of_near_copies_is_one_class(spark):
     assert all(r["class_id"] == r["doc_id"] for r in got if r["doc_id"] >= 1000)
 
 
+def test_equal_rows_are_shingled_once(spark, monkeypatch):
+    """Hundreds of rows with one id and text, and as many copies without an id, are one node each."""
+    base = prose(11, 200).split()
+    near = base[:60] + ["other"] + base[61:]
+    rows = [(7, " ".join(base))] * 500 + [(None, "  ".join(base))] * 300 + [(9, " ".join(near)), (11, prose(12, 150)), (11, prose(12, 150))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    seen, plain = [], near_dedup._bags
+    monkeypatch.setattr(near_dedup, "_bags", lambda texts: seen.append(texts.count()) or plain(texts))
+    got = near_dedup.find_classes(docs).collect()
+    assert len(seen) == 1 and seen[0] <= 2  # the unit of the 800 copies and its near copy
+    assert sorted((str(r["doc_id"]), r["class_id"]) for r in got) == sorted([("7", 7)] * 500 + [("None", 7)] * 300 + [("9", 7)] + [("11", 11)] * 2)
+    assert near_dedup.drop_near_duplicates(docs).count() == 2
+
+
 def test_links_along_a_chain_are_not_lost(spark):
     """A chain whose ends are unlike: every link counts, in whichever block it is found."""
     base = prose(10, 200).split()
