@@ -6,22 +6,30 @@ turn before it (merge), or be led by an empty turn of the role that is missing (
 the automaton of legal turns finds the cheapest repair; of equally cheap ones the first in the order of ``_MOVES``.
 
 The best cost between two states over a stretch of turns composes with that of the next stretch, so a conversation is
-handled in stretches of ``STRETCH`` turn numbers, each by itself: first their cost tables, then the best way through
-the tables of a conversation, then the repair inside each stretch.  No task holds more of a conversation than a stretch
-and its tables.  Null and unknown roles can be any role at the cost of a relabel; null texts are empty; null turn
-numbers come last, equal ones are ordered by role and text, so repeated rows are merged like any turns of one role; rows
-without a conversation id are conversations of one turn (repeated rows of one); an empty table gives an empty result.
+handled in stretches of about ``STRETCH`` rows, each by itself: first their cost tables, then tables of ``FAN``
+stretches in a row, of ``FAN`` such tables and so on, then the cheapest way down again, at last the repair inside each
+stretch.  No task holds more of a conversation than a stretch with its texts, or ``FAN`` tables.
+
+Null and unknown roles can be any role at the cost of a relabel; null texts are empty; null turn numbers come last,
+equal ones are ordered by role and digest of the text (where a number and role have very many rows, texts with very
+many equal rows come after the others with the same beginning of the digest), so repeated rows are merged like any
+turns of one role; rows without a conversation id are conversations of one turn (repeated rows of one); an empty table
+gives an empty result.  Other columns are not carried along.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions.storage import cut
 
 STRETCH = 256
+#: Tables of so many stretches in a row are composed in one task.
+FAN = 256
+#: A chunk of turn numbers, and a number and role, are divided from so many times ``STRETCH`` rows up.
+_ROOM = 4
 RELABEL, MERGE, INSERT = 4, 2, 3
 ROLES = ("system", "user", "assistant")
 #: Other names that roles go by (fixed values).
@@ -36,6 +44,7 @@ _MOVES = (
 )
 _ACTION_COST = {"keep": 0, "merge": MERGE, "insert": INSERT}
 _FAR = 1 << 60
+_END = "<|im_end|>\n"
 
 
 def known_role(role: str | None) -> str | None:
@@ -72,61 +81,137 @@ def clean(text: str | None) -> str:
     return (text or "").replace("<|", "< |")
 
 
+def _key() -> list[Column]:
+    """Where a row lies, never null and in order: chunk, number and role in a busy chunk, digest in a crowded role, piece."""
+    return [F.col(c) for c in ("conv", "chunk", "at_turn", "at_role", "at_digest", "piece")]
+
+
 def _stretches(turns: DataFrame) -> DataFrame:
+    """The turns with ``conv`` (never null), ``digest`` of the text, ``stretch`` (from 0, in order) and ``last``.
+
+    A stretch is a chunk of turn numbers; a busy chunk has a stretch for each number and role; a crowded number and
+    role one for each beginning of the digest, long enough to leave about ``STRETCH`` rows.  There, rows alike in
+    everything are counted and dealt over pieces, so any number of them never meets in one place.
+    """
     number = F.col("turn").cast("long")
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), number.alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
     own = F.md5(F.to_json(F.struct("turn", "role", "text")))  # rows without conversation id are told apart by this
     rows = rows.withColumn("lone", F.when(F.col("conv_id").isNull(), own).otherwise(""))
-    return rows.withColumn("stretch", F.floor(F.coalesce("turn", F.lit(2**62)) / STRETCH).cast("long"))
+    rows = rows.withColumns({
+        "conv": F.coalesce(F.col("conv_id").cast("string"), "lone"),
+        "digest": F.coalesce(F.md5("text"), F.lit("g" * 32)),  # null texts come last
+        "chunk": F.floor(F.coalesce("turn", F.lit(2**62)) / STRETCH).cast("long"),
+        "_turn": F.coalesce("turn", F.lit(0)), "_role": F.coalesce("role", F.lit("\uffff")),
+    })
+    sizes = cut(rows.groupBy("conv", "chunk", "_turn", "_role").agg(F.count(F.lit(1)).alias("n")).where(F.col("conv").isNotNull()))
+    busy = sizes.groupBy("conv", "chunk").agg(F.sum("n").alias("n")).where(F.col("n") > _ROOM * STRETCH).select("conv", "chunk", F.lit(True).alias("busy"))
+    digits = F.least(F.ceil(F.log(16.0, F.col("n") / STRETCH)).cast("int"), F.lit(32)).alias("digits")
+    crowded = sizes.where(F.col("n") > _ROOM * STRETCH).select("conv", "chunk", "_turn", "_role", digits)
+    marked = rows.join(cut(busy), ["conv", "chunk"], "left").join(cut(crowded), ["conv", "chunk", "_turn", "_role"], "left")
+    marked = marked.withColumns({"at_turn": F.when(F.col("busy"), F.col("_turn")).otherwise(0), "at_role": F.when(F.col("busy"), F.col("_role")).otherwise("")})
+    shared = ["conv", "conv_id", "lone", "chunk", "at_turn", "at_role", "turn", "role", "text", "digest"]
+    plain = marked.where("digits is null").select(*shared, F.lit("").alias("at_digest"), F.lit(0).alias("piece"), F.lit(1).alias("alike"))
+
+    counted = marked.where("digits is not null").groupBy(*shared, "digits").agg(F.count(F.lit(1)).alias("all_alike"))
+    begin = F.when(F.col("all_alike") > STRETCH, F.col("digest")).otherwise(F.substring(F.col("digest"), F.lit(1), F.col("digits")))
+    pieces = counted.withColumn("piece", F.explode(F.sequence(F.lit(0), F.floor((F.col("all_alike") - 1) / STRETCH).cast("int"))))
+    alike = F.least(F.lit(STRETCH), F.col("all_alike") - F.col("piece") * STRETCH).cast("int")
+    dealt = cut(plain.unionByName(pieces.select(*shared, begin.alias("at_digest"), "piece", alike.alias("alike"))))
+
+    order = Window.partitionBy("conv").orderBy(*_key()[1:])
+    spots = dealt.select(*_key()).distinct()
+    numbered = cut(spots.withColumns({"stretch": F.row_number().over(order).cast("long") - 1, "last": F.lead("conv").over(order).isNull()}))
+    placed = dealt.join(numbered, ["conv", "chunk", "at_turn", "at_role", "at_digest", "piece"])
+    copies = F.explode(F.sequence(F.lit(1), F.col("alike"))).alias("_copy")
+    return placed.select("conv", "conv_id", "lone", "stretch", "last", "turn", "role", "text", "digest", copies).drop("_copy")
+
+
+_ORDER = [("turn", "ascending"), ("role", "ascending"), ("digest", "ascending")]
+_TABLE = "conv string, stretch long, start_state string, end_state string, cost long"
+_TABLE_ARROW = pa.schema([("conv", pa.string()), ("stretch", pa.int64()), ("start_state", pa.string()), ("end_state", pa.string()), ("cost", pa.int64())])
+Costs = dict[tuple[str, str], int]
+
+
+def _steps(group: pa.Table) -> list[tuple[int, Costs]]:
+    """The cost tables of a group of stretches, in order."""
+    steps: dict[int, Costs] = {}
+    for row in group.select(["stretch", "start_state", "end_state", "cost"]).to_pylist():
+        steps.setdefault(row["stretch"], {})[row["start_state"], row["end_state"]] = row["cost"]
+    return sorted(steps.items())
+
+
+def ways_through(tables: list[Costs], start: str) -> list[dict[str, tuple[int, str]]]:
+    """After each table: for each state that can be reached from ``start``, the least cost and the state before the table."""
+    ways: list[dict[str, tuple[int, str]]] = [{start: (0, "")}]
+    for table in tables:
+        after: dict[str, tuple[int, str]] = {}
+        for end in STATES:
+            for before in STATES:
+                if before in ways[-1] and (before, end) in table and ways[-1][before][0] + table[before, end] < after.get(end, (_FAR,))[0]:
+                    after[end] = (ways[-1][before][0] + table[before, end], before)
+        ways.append(after)
+    return ways
+
+
+def _composed(tables: DataFrame) -> DataFrame:
+    """The tables of ``FAN`` stretches in a row as one each."""
+
+    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        steps = [table for _, table in _steps(group)]
+        found = [(s, e, cost) for s in STATES for e, (cost, _) in ways_through(steps, s)[-1].items()]
+        return pa.Table.from_pylist([dict(zip(_TABLE_ARROW.names, [key[0].as_py(), key[1].as_py(), *f])) for f in found], _TABLE_ARROW)
+
+    return tables.withColumn("above", F.floor(F.col("stretch") / FAN)).groupBy("conv", "above").applyInArrow(run, _TABLE)
 
 
-_ORDER = [("turn", "ascending"), ("role", "ascending"), ("text", "ascending")]
+def _ways_down(tables: DataFrame, chosen: DataFrame) -> DataFrame:
+    """The states between which the cheapest way passes each stretch, given those of the stretches above."""
+    schema = pa.schema([*[_TABLE_ARROW.field(i) for i in range(4)], ("total_cost", pa.int64())])
+
+    def run(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        steps = _steps(group)
+        begin, state, total = (group.column(c)[0].as_py() for c in ("from_state", "to_state", "total_cost"))
+        ways, out = ways_through([table for _, table in steps], begin), []
+        for i in range(len(steps), 0, -1):
+            before = ways[i][state][1]
+            out.append(dict(zip(schema.names, [key[0].as_py(), steps[i - 1][0], before, state, total])))
+            state = before
+        return pa.Table.from_pylist(out, schema)
+
+    above = chosen.select("conv", F.col("stretch").alias("above"), F.col("start_state").alias("from_state"), F.col("end_state").alias("to_state"), "total_cost")
+    both = tables.withColumn("above", F.floor(F.col("stretch") / FAN).cast("long")).join(above, ["conv", "above"])
+    return both.groupBy("conv", "above").applyInArrow(run, "conv string, stretch long, start_state string, end_state string, total_cost long")
+
+
+def cheapest_ways(tables: DataFrame) -> DataFrame:
+    """(conv, stretch, start_state, end_state, total_cost) of the cheapest way through each conversation's tables."""
+    levels = [tables]
+    while (levels[-1].agg(F.max("stretch")).first()[0] or 0) > 0:
+        levels.append(cut(_composed(levels[-1])))
+    rank = F.array_position(F.array(*[F.lit(s) for s in STATES]), F.col("end_state"))
+    best = F.min(F.struct(F.col("cost"), rank.alias("rank"), F.col("end_state"))).alias("best")
+    chosen = levels[-1].where("start_state = 'start'").groupBy("conv").agg(best)
+    chosen = chosen.select("conv", F.lit(0).cast("long").alias("stretch"), F.lit("start").alias("start_state"), F.col("best.end_state").alias("end_state"), F.col("best.cost").alias("total_cost"))
+    for level in reversed(levels[:-1]):
+        chosen = cut(_ways_down(level, chosen))
+    return chosen
 
 
 def repair(turns: DataFrame) -> DataFrame:
     """One row per turn read: conv_id, lone, stretch, place, turn, old_role, role, action, relabelled, text, piece.
 
     ``piece`` is what the turn adds to the rendered conversation: an empty turn before it if one was inserted, the
-    opening of its own turn unless it was merged, and its text.
+    opening of its own turn unless it was merged, its text, and the end of the conversation after its last turn.
     """
-    rows = _stretches(turns)
-    keys = ["conv_id", "lone", "stretch"]
-
-    cost_schema = pa.schema([("conv_id", pa.int64()), ("lone", pa.string()), ("stretch", pa.int64()), ("start_state", pa.string()), ("end_state", pa.string()), ("cost", pa.int64())])
-    way_schema = pa.schema([*[cost_schema.field(i) for i in range(5)], ("total_cost", pa.int64())])
+    rows = cut(_stretches(turns))
 
     def tables(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        roles = group.sort_by(_ORDER).column("role").to_pylist()
+        roles = group.sort_by(_ORDER[:2]).column("role").to_pylist()
         found = [(s, e, cost) for s in STATES for e, (cost, _) in best_ways(roles, s)[-1].items()]
-        same = [k.as_py() for k in key]
-        return pa.Table.from_pylist([dict(zip(cost_schema.names, [*same, *f])) for f in found], cost_schema)
-
-    narrow = rows.select(*keys, "turn", "role", F.md5("text").alias("text"))
-    costs = cut(narrow.groupBy(*keys).applyInArrow(tables, "conv_id long, lone string, stretch long, start_state string, end_state string, cost long"))
-
-    def through(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        steps: dict[int, list[tuple[str, str, int]]] = {}
-        for row in group.to_pylist():
-            steps.setdefault(row["stretch"], []).append((row["start_state"], row["end_state"], row["cost"]))
-        ways: list[dict[str, tuple[int, str]]] = [{"start": (0, "")}]
-        for stretch in sorted(steps):
-            after: dict[str, tuple[int, str]] = {}
-            for s, e, cost in sorted(steps[stretch], key=lambda x: (STATES.index(x[1]), STATES.index(x[0]))):
-                if s in ways[-1] and ways[-1][s][0] + cost < after.get(e, (_FAR,))[0]:
-                    after[e] = (ways[-1][s][0] + cost, s)
-            ways.append(after)
-        state = min(ways[-1], key=lambda e: (ways[-1][e][0], STATES.index(e)))
-        total, out = ways[-1][state][0], []
-        for i, stretch in reversed([*enumerate(sorted(steps), 1)]):
-            before = ways[i][state][1]
-            out.append([key[0].as_py(), key[1].as_py(), stretch, before, state, total])
-            state = before
-        return pa.Table.from_pylist([dict(zip(way_schema.names, x)) for x in out], way_schema)
+        return pa.Table.from_pylist([dict(zip(_TABLE_ARROW.names, [key[0].as_py(), key[1].as_py(), *f])) for f in found], _TABLE_ARROW)
 
-    ways = cut(costs.groupBy("conv_id", "lone").applyInArrow(through, "conv_id long, lone string, stretch long, start_state string, end_state string, total_cost long"))
-    same = F.col("r.conv_id").eqNullSafe(F.col("w.conv_id")) & (F.col("r.lone") == F.col("w.lone")) & (F.col("r.stretch") == F.col("w.stretch"))
-    both = rows.alias("r").join(ways.alias("w"), same)
-    both = both.select("r.*", "w.start_state", "w.end_state", "w.total_cost")
+    costs = cut(rows.select("conv", "stretch", "turn", "role").groupBy("conv", "stretch").applyInArrow(tables, _TABLE))
+    both = rows.join(cheapest_ways(costs), ["conv", "stretch"])
     schema = "conv_id long, lone string, stretch long, place long, turn long, old_role string, role string, action string, relabelled boolean, total_cost long, text string, piece string"
 
     def mend(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
@@ -135,29 +220,45 @@ def repair(turns: DataFrame) -> DataFrame:
         out = []
         for place, (row, number) in enumerate(zip(rows, moves)):
             state, role, _, action = _MOVES[number]
-            opened = "" if state == "start" else "<|im_end|>\n"
+            opened = "" if state == "start" else _END
             if action == "insert":
                 missing = "user" if role == "assistant" else "assistant"
-                opened += f"<|im_start|>{missing}\n<|im_end|>\n"
+                opened += f"<|im_start|>{missing}\n{_END}"
             piece = "\n" if action == "merge" else f"{opened}<|im_start|>{role}\n"
-            out.append({"conv_id": row["conv_id"], "lone": row["lone"], "stretch": row["stretch"], "place": place, "turn": row["turn"], "old_role": row["role"], "role": role, "action": action, "relabelled": role != known_role(row["role"]), "total_cost": row["total_cost"], "text": row["text"], "piece": piece + clean(row["text"])})
+            closed = _END if row["last"] and place == len(rows) - 1 else ""
+            out.append({"conv_id": row["conv_id"], "lone": row["lone"], "stretch": row["stretch"], "place": place, "turn": row["turn"], "old_role": row["role"], "role": role, "action": action, "relabelled": role != known_role(row["role"]), "total_cost": row["total_cost"], "text": row["text"], "piece": piece + clean(row["text"]) + closed})
         kinds = [("conv_id", pa.int64()), ("lone", pa.string()), ("stretch", pa.int64()), ("place", pa.int64()), ("turn", pa.int64()), ("old_role", pa.string()), ("role", pa.string()), ("action", pa.string()), ("relabelled", pa.bool_()), ("total_cost", pa.int64()), ("text", pa.string()), ("piece", pa.string())]
         return pa.Table.from_pylist(out, pa.schema(kinds))
 
-    return both.groupBy(*keys).applyInArrow(mend, schema)
+    return both.groupBy("conv", "stretch").applyInArrow(mend, schema)
 
 
-def render(repaired: DataFrame) -> DataFrame:
-    """One row per conversation: conv_id, n_turns, n_out, n_merged, n_relabelled, n_inserted, cost, rendered."""
+def _rendered(repaired: DataFrame, keys: list[str]) -> DataFrame:
     count = lambda c: F.sum(c.cast("long"))
     pieces = F.array_sort(F.collect_list(F.struct("stretch", "place", "piece")))
     merged, inserted = F.col("action") == "merge", F.col("action") == "insert"
-    return repaired.groupBy("conv_id", "lone").agg(
+    return repaired.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n_turns"),
         (count(~merged) + count(inserted)).alias("n_out"),
         count(merged).alias("n_merged"),
         count(F.col("relabelled")).alias("n_relabelled"),
         count(inserted).alias("n_inserted"),
         F.max("total_cost").alias("cost"),
-        F.concat(F.array_join(F.transform(pieces, lambda p: p["piece"]), ""), F.lit("<|im_end|>\n")).alias("rendered"),
-    ).drop("lone")
+        F.array_join(F.transform(pieces, lambda p: p["piece"]), "").alias("rendered"),
+    ).drop("lone")
+
+
+def render_parts(repaired: DataFrame) -> DataFrame:
+    """One row per stretch: conv_id, part (from 0), the counts of :func:`render` in it, cost of the conversation, rendered.
+
+    The parts of a conversation, in order, are its whole text; a conversation of ordinary length has one.
+    """
+    return _rendered(repaired, ["conv_id", "lone", "stretch"]).withColumnRenamed("stretch", "part")
+
+
+def render(repaired: DataFrame) -> DataFrame:
+    """One row per conversation: conv_id, n_turns, n_out, n_merged, n_relabelled, n_inserted, cost, rendered.
+
+    Only for conversations that fit in a row; :func:`render_parts` is bounded.
+    """
+    return _rendered(repaired, ["conv_id", "lone"])

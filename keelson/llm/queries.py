@@ -122,7 +122,7 @@ def html_main_text(spark, sf_dir):
 
 @query("op9_chat_repair")
 def chat_repair(spark, sf_dir):
-    return chat.render(chat.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
+    return chat.render_parts(chat.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet")))
 
 
 @query("op11_centroid_clusters", centroids.twin_sql())

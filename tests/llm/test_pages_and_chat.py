@@ -106,6 +106,27 @@ def test_conversations(spark, monkeypatch):
     assert small == {(50, long["rendered"])}
 
 
+def test_turns_of_one_or_no_number(spark, monkeypatch):
+    """Thousands of turns with one number, no number, or all alike are cut into stretches by rows."""
+    monkeypatch.setattr(chat, "STRETCH", 20)
+    monkeypatch.setattr(chat, "FAN", 4)
+    kinds = ["user", "assistant", None]
+    rows = [(1, 5, kinds[i % 3], f"t{i}") for i in range(2000)] + [(1, None, "user", "same")] * 300 + [(1, 900 + t, kinds[t % 2], "x") for t in range(60)]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    repaired = chat.repair(turns).cache()
+    sizes = [r["count"] for r in repaired.groupBy("stretch").count().collect()]
+    assert sum(sizes) == len(rows) and len(sizes) > 40 and max(sizes) <= 80
+    (whole,) = chat.render(repaired).collect()
+    order = sorted(rows, key=lambda x: (x[1] is None, x[1] or 0, x[2] is None, x[2] or ""))
+    assert whole["cost"] == min(c for c, _ in chat.best_ways([x[2] for x in order], "start")[-1].values())
+    assert whole["cost"] == chat.MERGE * whole["n_merged"] + chat.RELABEL * whole["n_relabelled"] + chat.INSERT * whole["n_inserted"]
+    parts = sorted(chat.render_parts(repaired).collect(), key=lambda r: r["part"])
+    assert [r["part"] for r in parts] == list(range(len(parts)))
+    assert "".join(r["rendered"] for r in parts) == whole["rendered"] and sum(r["n_out"] for r in parts) == whole["n_out"]
+    roles = re.findall(r"<\|im_start\|>(\w+)\n", whole["rendered"])
+    assert is_legal(roles) and len(roles) == whole["n_out"]
+
+
 def test_content_is_found_before_it_is_widened_to_its_article():
     text = [f"{LONG}{LONG}number {i}" for i in range(6)]
     paragraphs = "".join(f"<p>{x}</p>" for x in text)
