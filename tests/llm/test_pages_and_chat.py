@@ -3,6 +3,7 @@
 import html
 import itertools
 import re
+import time
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -136,3 +137,43 @@ def test_content_is_found_before_it_is_widened_to_its_article():
     first, second = ("".join(f"<p>{x}</p>" for x in part) for part in (text[:3], text[3:]))
     page = f"<body><div><article><h2>One</h2>{first}</article><article><h2>Two</h2>{second}</article></div></body>"
     assert html_main.main_text(page) == "\n".join(["One", *text[:3], "Two", *text[3:]])
+
+
+def test_headings_and_closing_lines_join_unmarked_content():
+    text = [f"{LONG}{LONG}number {i}" for i in range(5)]
+    paragraphs = "".join(f"<p>{x}</p>" for x in text)
+    body = f"<h1>Title</h1><div>{paragraphs}</div><div><p>Closing line of the text.</p></div>"
+    whole = "\n".join(["Title", *text, "Closing line of the text."])
+    assert html_main.main_text(f"<body>{body}</body>") == whole
+    menu = "<ul>" + "".join(f"<li><a href='/{i}'>Go to {i}</a></li>" for i in range(5)) + "</ul>"
+    advert = f"<div class='ad'>{LONG}</div>"
+    around = f"<div>{menu}</div>{body}{advert}<p>Last.</p><div>{menu}<p>Rights reserved.</p></div><footer><p>Us</p></footer><p>Below</p>"
+    assert html_main.main_text(f"<body><p>Skip</p>{around}</body>") == f"{whole}\nLast."
+    halves = f"<div><div>{paragraphs}</div><h2>Two</h2>short<div>{paragraphs}</div></div>"
+    assert html_main.main_text(f"<body>{halves}</body>") == "\n".join([*text, "Two", "short", *text])
+
+
+def test_a_part_of_a_name_is_a_weak_sign():
+    links = "".join(f"<a href='/{i}'>A story with a name {i}</a>, " for i in range(4))
+    for name, kept in (("related-work", True), ("social-history", True), ("adult-comments-policy", True), ("comments", False), ("comment-list", False), ("ad_slot-3", False)):
+        page = f"<article><h1>T</h1><p>{LONG}</p><section class='{name}'><p>{LONG * 2}</p></section><p>{LONG}</p></article>"
+        assert html_main.main_text(page).split("\n") == ["T", LONG.strip(), *[(LONG * 2).strip()][:kept], LONG.strip()], name
+    page = f"<article><h1>T</h1><p>{LONG}</p><div class='related-stories'>{links}</div><p>{LONG}</p></article>"
+    assert html_main.main_text(page) == "\n".join(["T", LONG.strip(), LONG.strip()])
+    page = f"<body><div class='widget'><main><h1>T</h1><p>{LONG}</p></main></div><p>Rights.</p></body>"
+    assert html_main.main_text(page) == f"T\n{LONG.strip()}"
+
+
+def test_slash_does_not_close_a_block():
+    assert html_main.main_text(f"<article><p>{LONG}</p><aside/>gone<p>gone too</p></aside><p>kept</p></article>") == f"{LONG.strip()}\nkept"
+
+
+def test_time_grows_with_the_page():
+    """Pages of megabytes that make a careless parser quadratic are read in seconds."""
+    n = 1_500_000
+    pages = ["<p><div>" * (4 * n // 16) + "</b></q></x>" * (4 * n // 24), "<!" * (n // 2), "<a =\">\"" * (n // 7), "<p><table><tr><td>" + "<div>" * (n // 5),
+             "<li>x<ul>" * (n // 9), "<p title=\"" * (n // 10), "<div class='ad'>" * (n // 20) + "x", "<p>" + "<i>" * (n // 6) + "y</p>" * (n // 10)]
+    for page in pages:
+        begin = time.process_time()
+        html_main.main_text(page)
+        assert time.process_time() - begin < 20, page[:20]
