@@ -6,9 +6,10 @@ turn before it (merge), or be led by an empty turn of the role that is missing (
 the automaton of legal turns finds the cheapest repair; of equally cheap ones the first in the order of ``_MOVES``.
 
 The best cost between two states over a stretch of turns composes with that of the next stretch, so a conversation is
-handled in stretches of about ``STRETCH`` rows, each by itself: first their cost tables, then tables of ``FAN``
-stretches in a row, of ``FAN`` such tables and so on, then the cheapest way down again, at last the repair inside each
-stretch.  No task holds more of a conversation than a stretch with its texts, or ``FAN`` tables.
+handled in stretches of about ``STRETCH`` rows, a row with its turns in order each.  Of conversations with more than one,
+first the cost tables of stretches, then those of ``FAN`` stretches in a row, of ``FAN`` such tables and so on, then the
+cheapest way down again; at last the repair inside each stretch.  Python reads roles alone and returns moves, texts stay
+in Spark.  No task holds more of a conversation than a stretch with its texts, or ``FAN`` tables.
 
 Null and unknown roles can be any role at the cost of a relabel; null texts are empty; null turn numbers come last,
 equal ones are ordered by role and digest of the text (where a number and role have very many rows, texts with very
@@ -19,6 +20,10 @@ gives an empty result.  Other columns are not carried along.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Iterator
+
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -76,9 +81,18 @@ def moves_between(roles: list[str | None], start: str, end: str) -> list[int]:
     return moves[::-1]
 
 
-def clean(text: str | None) -> str:
-    """Text that cannot be taken for a marker of turns."""
-    return (text or "").replace("<|", "< |")
+@functools.lru_cache(maxsize=1024)
+def _codes(known: tuple[str | None, ...], start: str, end: str | None) -> list[int]:
+    """For each turn twice the number of its move, and one more if it is relabelled; without ``end`` to the cheapest one."""
+    if end is None:
+        reached = best_ways(list(known), start)[-1]
+        end = min(reached, key=lambda state: (reached[state][0], STATES.index(state)))
+    return [2 * move + (_MOVES[move][1] != role) for move, role in zip(moves_between(list(known), start, end), known)]
+
+
+def codes_of(roles: pd.Series, start: pd.Series, end: pd.Series) -> pd.Series:
+    """The codes of each row's roles; conversations with the same roles in a row are repaired once."""
+    return pd.Series([_codes(tuple(map(known_role, r)), s, e) for r, s, e in zip(roles, start, end)], dtype=object)
 
 
 def _key() -> list[Column]:
@@ -126,7 +140,6 @@ def _stretches(turns: DataFrame) -> DataFrame:
     return placed.select("conv", "conv_id", "lone", "stretch", "last", "turn", "role", "text", "digest", copies).drop("_copy")
 
 
-_ORDER = [("turn", "ascending"), ("role", "ascending"), ("digest", "ascending")]
 _TABLE = "conv string, stretch long, start_state string, end_state string, cost long"
 _TABLE_ARROW = pa.schema([("conv", pa.string()), ("stretch", pa.int64()), ("start_state", pa.string()), ("end_state", pa.string()), ("cost", pa.int64())])
 Costs = dict[tuple[str, str], int]
@@ -203,34 +216,46 @@ def repair(turns: DataFrame) -> DataFrame:
     ``piece`` is what the turn adds to the rendered conversation: an empty turn before it if one was inserted, the
     opening of its own turn unless it was merged, its text, and the end of the conversation after its last turn.
     """
-    rows = cut(_stretches(turns))
-
-    def tables(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        roles = group.sort_by(_ORDER[:2]).column("role").to_pylist()
-        found = [(s, e, cost) for s in STATES for e, (cost, _) in best_ways(roles, s)[-1].items()]
-        return pa.Table.from_pylist([dict(zip(_TABLE_ARROW.names, [key[0].as_py(), key[1].as_py(), *f])) for f in found], _TABLE_ARROW)
-
-    costs = cut(rows.select("conv", "stretch", "turn", "role").groupBy("conv", "stretch").applyInArrow(tables, _TABLE))
-    both = rows.join(cheapest_ways(costs), ["conv", "stretch"])
-    schema = "conv_id long, lone string, stretch long, place long, turn long, old_role string, role string, action string, relabelled boolean, total_cost long, text string, piece string"
-
-    def mend(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        rows = group.sort_by(_ORDER).to_pylist()
-        moves = moves_between([r["role"] for r in rows], rows[0]["start_state"], rows[0]["end_state"])
-        out = []
-        for place, (row, number) in enumerate(zip(rows, moves)):
-            state, role, _, action = _MOVES[number]
-            opened = "" if state == "start" else _END
-            if action == "insert":
-                missing = "user" if role == "assistant" else "assistant"
-                opened += f"<|im_start|>{missing}\n{_END}"
-            piece = "\n" if action == "merge" else f"{opened}<|im_start|>{role}\n"
-            closed = _END if row["last"] and place == len(rows) - 1 else ""
-            out.append({"conv_id": row["conv_id"], "lone": row["lone"], "stretch": row["stretch"], "place": place, "turn": row["turn"], "old_role": row["role"], "role": role, "action": action, "relabelled": role != known_role(row["role"]), "total_cost": row["total_cost"], "text": row["text"], "piece": piece + clean(row["text"]) + closed})
-        kinds = [("conv_id", pa.int64()), ("lone", pa.string()), ("stretch", pa.int64()), ("place", pa.int64()), ("turn", pa.int64()), ("old_role", pa.string()), ("role", pa.string()), ("action", pa.string()), ("relabelled", pa.bool_()), ("total_cost", pa.int64()), ("text", pa.string()), ("piece", pa.string())]
-        return pa.Table.from_pylist(out, pa.schema(kinds))
-
-    return both.groupBy("conv", "stretch").applyInArrow(mend, schema)
+    in_order = F.struct(F.col("turn").isNull().alias("no_turn"), "turn", F.col("role").isNull().alias("no_role"), "role", "digest", "text")
+    whole = _stretches(turns).groupBy("conv", "stretch").agg(
+        F.first("conv_id").alias("conv_id"), F.first("lone").alias("lone"), F.first("last").alias("last"), F.array_sort(F.collect_list(in_order)).alias("turns")
+    )
+    stretches = cut(whole.withColumn("roles", F.col("turns")["role"]))
+    lone_one = F.col("last") & (F.col("stretch") == 0)
+
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [
+                dict(zip(_TABLE_ARROW.names, [row["conv"], row["stretch"], s, e, cost]))
+                for row in batch.to_pylist() for s in STATES for e, (cost, _) in best_ways(row["roles"], s)[-1].items()
+            ]
+            yield pa.RecordBatch.from_pylist(found, _TABLE_ARROW)
+
+    costs = cut(stretches.where(~lone_one).select("conv", "stretch", "roles").mapInArrow(tables, _TABLE))
+    ways = cheapest_ways(costs).select("conv", "stretch", "start_state", "end_state", "total_cost")
+    alone = stretches.where(lone_one).select("*", F.lit("start").alias("start_state"), F.lit(None).cast("string").alias("end_state"), F.lit(None).cast("long").alias("total_cost"))
+    both = alone.unionByName(stretches.where(~lone_one).join(ways, ["conv", "stretch"]))
+    codes = F.pandas_udf(codes_of, "array<int>")  # type: ignore[call-overload]
+    coded = both.withColumn("codes", codes("roles", "start_state", "end_state"))
+    priced = F.array(*[F.lit(_ACTION_COST[action] + relabel) for *_, action in _MOVES for relabel in (0, RELABEL)])
+    own_cost = F.aggregate("codes", F.lit(0).cast("long"), lambda total, code: total + F.get(priced, code))
+    coded = coded.withColumn("total_cost", F.coalesce("total_cost", own_cost))
+    each = coded.select("conv_id", "lone", "stretch", "last", "total_cost", F.size("codes").alias("n"), F.posexplode(F.arrays_zip("turns", "codes")).alias("at", "one"))
+
+    def of_move(values: list[str]) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), F.floor(F.col("one.codes") / 2).cast("int"))
+
+    lead = []  # what each move puts before the text
+    for state, role, _, action in _MOVES:
+        empty_turn = f"<|im_start|>{'user' if role == 'assistant' else 'assistant'}\n{_END}" if action == "insert" else ""
+        lead.append("\n" if action == "merge" else f"{'' if state == 'start' else _END}{empty_turn}<|im_start|>{role}\n")
+    text = F.replace(F.coalesce("one.turns.text", F.lit("")), F.lit("<|"), F.lit("< |"))  # cannot be taken for a marker of turns
+    closed = F.when(F.col("last") & (F.col("at") == F.col("n") - 1), _END).otherwise("")
+    return each.select(
+        "conv_id", "lone", "stretch", F.col("at").cast("long").alias("place"), "one.turns.turn", F.col("one.turns.role").alias("old_role"),
+        of_move([role for _, role, _, _ in _MOVES]).alias("role"), of_move([action for *_, action in _MOVES]).alias("action"),
+        (F.col("one.codes") % 2 == 1).alias("relabelled"), "total_cost", "one.turns.text", F.concat(of_move(lead), text, closed).alias("piece"),
+    )
 
 
 def _rendered(repaired: DataFrame, keys: list[str]) -> DataFrame:
