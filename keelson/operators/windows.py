@@ -182,10 +182,14 @@ def tensor_parts(df: DataFrame, cfg: Config, features: Sequence[str]) -> DataFra
 
     ``df`` has the resampled rows.  They are shuffled once; the parts are picked from each window's steps.
     """
-    whole = gathered_windows(df, cfg, features)
+    return parts_of(gathered_windows(df, cfg, features), cfg, ["sequence"])
+
+
+def parts_of(whole: DataFrame, cfg: Config, arrays: Sequence[str]) -> DataFrame:
+    """The X and Y steps of every time gap from windows that are rows: (dataset, track, window_id, time_gap, x_or_y, arrays)."""
     parts = []
     for gap in cfg.time_gaps:
         for name, steps in (("x", x_steps(cfg, gap)), ("y", y_steps(cfg, gap))):
-            picked = at_steps(F.col("sequence"), steps)
-            parts.append(F.struct(F.lit(gap).alias("time_gap"), F.lit(name).alias("x_or_y"), picked.alias("sequence")))
+            picked = [at_steps(F.col(c), steps).alias(c) for c in arrays]
+            parts.append(F.struct(F.lit(gap).alias("time_gap"), F.lit(name).alias("x_or_y"), *picked))
     return whole.select("dataset", "track", "window_id", F.inline(F.array(*parts)))

@@ -8,6 +8,7 @@ from workload import current_queries  # noqa: F401
 from workload import feature_queries  # noqa: F401
 from workload import scoring_queries  # noqa: F401
 from workload import cluster_queries  # noqa: F401
+from workload import tensor_queries  # noqa: F401
 from workload.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -129,12 +129,12 @@ def long_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut(tracks.filter_short_tracks(tracked, CFG))
 
 
-def split_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Long tracks with a dataset each: the last third of days is test, the rest train/valid.
+def split_tracks(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> DataFrame:
+    """Long tracks (``rows`` if they are there) with a dataset each: the last third of days is test, the rest train/valid.
 
     The given tables span one month, so days stand in for months here.
     """
-    rows = long_tracks(spark, sf_dir)
+    rows = long_tracks(spark, sf_dir) if rows is None else rows
     start = F.min("base_datetime")
     first = rows.groupBy("track").agg(start.alias("_start"))
     test = F.col("_start") >= SPLIT_SECOND

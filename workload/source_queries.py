@@ -6,13 +6,12 @@ from pyspark.sql import functions as F
 
 from keelson.functions.geo import utm_zone
 from keelson.functions.storage import work_folder
-from keelson.operators import windows
 from keelson.sources import catalogue, currents, messages, sinks
 from keelson.sources.dims import status_dim, vessel_dim
 from workload import inputs
-from workload.inputs import CFG, INNER_BOX
+from workload.inputs import INNER_BOX
 from workload.cleaning_queries import RAW_TEXT
-from workload.registry import big, cte, q4, q4_sql, query
+from workload.registry import big, cte, query
 
 RAW_KEPT = f"""mmsi as "MMSI", {RAW_TEXT} as "BaseDateTime", lat as "LAT", lon as "LON", sog as "SOG", cog as "COG",
   heading as "Heading", vessel_type as "VesselType", status as "Status" """
@@ -241,51 +240,8 @@ def _(spark, sf):
     return saved.withColumn("n_written", F.lit(n).cast("bigint"))
 
 
-FEATURES = ["base_datetime", "lat", "lon", "sog", "cog"]
-
-
-def tensors(spark, sf):
-    """Test and train windows of every dataset as X and Y sequences per time gap."""
-    return windows.tensor_parts(inputs.resampled(spark, sf), CFG, FEATURES)
-
-
 cte(
     "dataset_rows",
     """select *, split || '_long_term_train' as dataset from train_window_rows where split in ('train', 'valid')
       union all select *, split || '_long_term_test' from test_window_rows where split in ('valid', 'test')""",
 )
-cte(
-    "tensor_rows",
-    """select dataset, 3600 as time_gap, 'x' as x_or_y, track, window_id, step, base_datetime, lat, lon, sog, cog from dataset_rows where step < 5
-      union all select dataset, 3600, 'y', track, window_id, step, base_datetime, lat, lon, sog, cog from dataset_rows where step >= 5
-      union all select dataset, 7200, 'x', track, window_id, step, base_datetime, lat, lon, sog, cog from dataset_rows where step in (0, 2, 4)
-      union all select dataset, 7200, 'y', track, window_id, step, base_datetime, lat, lon, sog, cog from dataset_rows where step in (6, 8)""",
-)
-
-
-@query(
-    "tensor_sink",
-    """select dataset, cast(time_gap as bigint) as time_gap, x_or_y, count(*) as sequences, cast(max(n) as bigint) as steps, cast(5 as bigint) as features
-      from (select dataset, time_gap, x_or_y, track, window_id, count(*) as n from tensor_rows group by all) group by all""",
-)
-def _(spark, sf):
-    shapes = sinks.write_tensors(tensors(spark, sf), work_folder(spark, "tensors"))
-    return shapes.select("dataset", *big("time_gap"), "x_or_y", *big("sequences", "steps", "features"))
-
-
-@query(
-    "tensor_source",
-    f"""select track, window_id, cast(row_number() over (partition by track, window_id order by step) - 1 as bigint) as at,
-      cast(base_datetime as bigint) as seconds, {q4_sql('lat')} as lat, {q4_sql('lon')} as lon
-      from tensor_rows where dataset = 'valid_long_term_train' and time_gap = 7200 and x_or_y = 'x'""",
-)
-def _(spark, sf):
-    folder = work_folder(spark, "tensors")
-    sinks.write_tensors(tensors(spark, sf), folder)
-    part = sinks.read_tensors(spark, folder, "valid_long_term_train", 7200, "x")
-    steps = part.select("track", "window_id", F.posexplode("sequence").alias("at", "row"))
-    value = {name: F.col("row")[i] for i, name in enumerate(FEATURES)}
-    return steps.select(
-        "track", "window_id", *big("at"), value["base_datetime"].cast("bigint").alias("seconds"),
-        q4(value["lat"]).alias("lat"), q4(value["lon"]).alias("lon"),
-    )
