@@ -72,12 +72,15 @@ def with_ring(df: DataFrame) -> DataFrame:
     ).drop("_at", "_m")
 
 
-def radius_candidates(left: DataFrame, right: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def radius_candidates(left: DataFrame, right: DataFrame, keys: Sequence[str] = (), spread: bool = False) -> DataFrame:
     """Join each left row to the right rows of the cells around it; columns get l_/r_ prefixes.
 
     ``left`` and ``right`` carry ``keys``, ``eps_km`` and cells.  Right cells with more than
     ``CROWDED`` rows (at most rows/CROWDED of them, hence the broadcast) are cut into salted
     parts, each met by its own copy of the left rows, so no task receives a whole crowd.
+
+    ``spread`` deals the cells out over all shuffle partitions: where few bytes make many pairs, the join must not follow
+    the few tasks that the bytes would get.
     """
     cell = [*keys, *CELL]
     crowded = (
@@ -95,6 +98,10 @@ def radius_candidates(left: DataFrame, right: DataFrame, keys: Sequence[str] = (
     on = [l_named["l_ring_band"] == r_named["r_band"], l_named["l_ring_col"] == r_named["r_col"], l_named["l__salt"] == r_named["r__salt"]]
     for k in keys:
         on.append(l_named[k] == r_named[k])
+    if spread:
+        parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        l_named = l_named.repartition(parts, "l_ring_band", "l_ring_col", "l__salt", *keys)
+        r_named = r_named.repartition(parts, "r_band", "r_col", "r__salt", *keys)
     joined = l_named.join(r_named, on)
     for k in keys:
         joined = joined.drop(r_named[k])

@@ -9,6 +9,7 @@ inside it are ever formed.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ from keelson.functions.storage import cut
 RUN = ("run", "eps_km", "min_pts")
 DIRECT_PAIRS = 4096
 HALF_GLOBE_KM = 20_100.0
+# Below a centimetre, positions in degrees are not told apart any further.
+FINEST_KM = 1e-5
 
 
 def final_messages(df: DataFrame) -> DataFrame:
@@ -54,6 +57,50 @@ def _spots(df: DataFrame, key: str) -> DataFrame:
     return df.groupBy("lat", "lon").agg(F.count(F.lit(1)).alias("w"), F.min(key).alias("first"))
 
 
+def _with_vector(df: DataFrame) -> DataFrame:
+    """Add the unit vector ``x``, ``y``, ``z`` of lat/lon."""
+    lat, lon = F.radians("lat"), F.radians("lon")
+    return df.withColumns({"x": F.cos(lat) * F.cos(lon), "y": F.cos(lat) * F.sin(lon), "z": F.sin(lat)})
+
+
+def _chord(eps_km: Column) -> Column:
+    """Squared chord of ``eps_km`` on the unit sphere, with room for rounding; none around the globe."""
+    chord = 2 * F.sin(eps_km / (2 * CLUSTER_RADIUS_KM)) * (1 + 1e-6) + 4e-15
+    return F.when(eps_km < 20_000, chord * chord)
+
+
+def _maybe_near() -> Column:
+    """What pairs within ``eps_km`` fulfil: a test without trigonometry before the exact distance."""
+    squares = [(F.col(f"l_{c}") - F.col(f"r_{c}")) * (F.col(f"l_{c}") - F.col(f"r_{c}")) for c in "xyz"]
+    return F.col("l_chord").isNull() | (squares[0] + squares[1] + squares[2] <= F.col("l_chord"))
+
+
+def _starting_radii(spots: DataFrame, enough: int, start_km: float) -> tuple[DataFrame, list[float]]:
+    """(lat, lon, eps_km) of each spot and the radii in use: ``start_km``, halved while the spot's own cell holds ``enough``.
+
+    A cell of weight ``enough`` within some radius settles its spots, so no spot looks farther than its surroundings ask,
+    however crowded they are.  Only spots of such cells are looked at again with half the radius.  A spot that is nowhere
+    on the globe counts for no cell.
+    """
+    there = F.coalesce(F.col("lat").between(-90, 90) & F.col("lon").between(-360, 360), F.lit(False))
+    radius, radii = float(start_km), [float(start_km)]
+    done = [spots.where(~there).select("lat", "lon", F.lit(radius).alias("eps_km"))]
+    crowd = spots.where(there).select("lat", "lon", "w")
+    while radius / 2 >= FINEST_KM:
+        half = with_cell(crowd.withColumn("eps_km", F.lit(radius / 2)))
+        heavy = half.groupBy(*CELL).agg(F.sum("w").alias("_cell_w")).where(F.col("_cell_w") >= enough)
+        split = cut(half.join(heavy.select(*CELL, F.lit(True).alias("_heavy")), list(CELL), "left"))
+        done.append(split.where(F.col("_heavy").isNull()).select("lat", "lon", F.lit(radius).alias("eps_km")))
+        crowd = split.where("_heavy").select("lat", "lon", "w")
+        if crowd.isEmpty():
+            break
+        radius /= 2
+        radii.append(radius)
+    else:
+        done.append(crowd.select("lat", "lon", F.lit(radius).alias("eps_km")))
+    return reduce(DataFrame.unionByName, done), radii
+
+
 def knn_distance_curve(
     df: DataFrame, min_pts: Sequence[int], start_km: float, max_radius: float = HALF_GLOBE_KM, key: str = "track"
 ) -> DataFrame:
@@ -62,32 +109,37 @@ def knn_distance_curve(
     The distance is to neighbour m - 1, the point itself counting as the first.  Points
     with equal distance share a row covering their ranks, so the curve is whole however
     many ties there are.  Each pass looks within a radius and settles the points that have
-    enough neighbours inside it; the others go on with twice the radius.  Points that have
-    too few neighbours within ``max_radius`` come first, with a null distance.
+    enough neighbours inside it; the others go on with twice the radius.  The first pass takes
+    for each point the smallest of ``start_km``, its half, its quarter, ... that its own cell
+    shows to be enough, so the number of comparisons does not grow with the density.  Points
+    that have too few neighbours within ``max_radius`` come first, with a null distance.
     """
     spots = cut(_spots(df, key))
+    most = max(1, max(min_pts) - 1)
     wanted = spots.select("lat", "lon", "w", F.explode(F.array(*[F.lit(m) for m in min_pts])).alias("min_pts"))
+    at, radii = _starting_radii(spots, most, start_km)
     open_spots, settled, radius = wanted, None, start_km
     while True:
-        at = F.lit(float(radius))
-        left = with_cell(open_spots.select("lat", "lon").distinct().withColumn("eps_km", at))
-        right = with_cell(spots.select("lat", "lon", "w").withColumn("eps_km", at))
-        near = radius_candidates(left, right).withColumn("km", _km()).where(F.col("km") <= radius)
+        left = with_cell(_with_vector(at).withColumn("chord", _chord(F.col("eps_km"))))
+        used = F.explode(F.array(*[F.lit(float(r)) for r in radii])).alias("eps_km")
+        right = with_cell(_with_vector(spots).select("lat", "lon", "w", "x", "y", "z", used))
+        maybe = radius_candidates(left, right, ["eps_km"], spread=True).where(_maybe_near())
+        near = maybe.withColumn("km", _km()).where(F.col("km") <= F.col("eps_km"))
+        # The nearest spots are enough, as each weighs one or more; Spark drops the others before the exchange.
         by_distance = Window.partitionBy("l_lat", "l_lon").orderBy("km", "r_lat", "r_lon")
-        counted = near.withColumn("_upto", F.sum("r_w").over(by_distance.rowsBetween(Window.unboundedPreceding, 0)))
-        found = (
-            counted.select(F.col("l_lat").alias("lat"), F.col("l_lon").alias("lon"), "_upto", "km")
-            .join(open_spots, ["lat", "lon"])
-            .where(F.col("_upto") >= F.col("min_pts") - 1)
-            .groupBy("lat", "lon", "w", "min_pts")
-            .agg(F.min("km").alias("km"))
-        )
-        found = cut(found)
+        nearest = near.withColumn("_nth", F.row_number().over(by_distance)).where(F.col("_nth") <= most)
+        counted = nearest.withColumn("_upto", F.sum("r_w").over(by_distance.rowsBetween(Window.unboundedPreceding, 0)))
+        reached = [F.struct(F.lit(m).alias("min_pts"), F.min(F.when(F.col("_upto") >= m - 1, F.col("km"))).alias("km")) for m in sorted(set(min_pts))]
+        per_spot = counted.groupBy(F.col("l_lat").alias("lat"), F.col("l_lon").alias("lon")).agg(F.array(*reached).alias("_reached"))
+        found = per_spot.select("lat", "lon", F.inline("_reached")).where(F.col("km").isNotNull())
+        found = cut(found.join(open_spots, ["lat", "lon", "min_pts"]).select("lat", "lon", "w", "min_pts", "km"))
         settled = found if settled is None else settled.unionByName(found)
         open_spots = cut(open_spots.join(found, ["lat", "lon", "min_pts"], "left_anti"))
         if radius >= max_radius or open_spots.isEmpty():
             break
         radius = min(radius * 2, max_radius)
+        radii = [radius]
+        at = open_spots.select("lat", "lon").distinct().withColumn("eps_km", F.lit(float(radius)))
     endless = open_spots.select("lat", "lon", "w", "min_pts", F.lit(float("inf")).alias("km"))
     settled = settled.select("lat", "lon", "w", "min_pts", "km").unionByName(endless)
     distances = settled.groupBy("min_pts", "km").agg(F.sum("w").alias("n"))

@@ -81,6 +81,36 @@ def test_knn_curve_counts_the_point_itself(spark):
         assert got == pytest.approx(want.tolist(), abs=1e-6)
 
 
+def test_knn_curve_compares_no_crowd_with_itself(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    crowd = rng.uniform((27.0, -84.0), (27.02, -83.98), (2500, 2))
+    points = np.concatenate([crowd, crowd[:40], rng.uniform((20.0, -90.0), (30.0, -80.0), (30, 2)), [(-89.0, 179.99), (-89.0, -179.99)]])
+    met, plain = [], clustering.radius_candidates
+
+    def counted(*args, **kwargs):
+        out = plain(*args, **kwargs)
+        met.append(out.count())
+        return out
+
+    monkeypatch.setattr(clustering, "radius_candidates", counted)
+    curve = clustering.knn_distance_curve(frame(spark, points), (2, 6), 20.0).collect()
+    assert sum(met) < 600 * len(points)
+    ordered = np.sort(distances(points), axis=1)
+    for m in (2, 6):
+        want = np.sort(ordered[:, m - 2])[::-1]
+        got = [r["km"] for r in sorted(curve, key=lambda r: r["first_rank"]) if r["min_pts"] == m for _ in range(r["last_rank"] - r["first_rank"] + 1)]
+        assert got == pytest.approx(want.tolist(), abs=1e-6)
+
+
+def test_knn_curve_of_piles_and_positions_without_a_coordinate(spark):
+    rows = [(i, 5.0, 5.0) for i in range(6)] + [(i, 5.0, 5.0 + i * 1e-9) for i in range(6, 9)] + [(9, None, 5.0), (10, None, None)]
+    points = spark.createDataFrame(rows, "track long, lat double, lon double")
+    curve = clustering.knn_distance_curve(points, (1, 6), 10.0, max_radius=4.0).collect()
+    for m in (1, 6):
+        spans = sorted((r["first_rank"], r["last_rank"], r["km"]) for r in curve if r["min_pts"] == m)
+        assert spans[0] == (1, 2, None) and spans[-1][1:] == (11, 0.0) and all(km < 1e-6 for _, _, km in spans[1:])
+
+
 def test_nearest_core_wins(spark):
     rng = np.random.default_rng(6)
     points = clouds(rng, [(27.0, -84.0), (27.1, -84.0)], 60, 0.02)
