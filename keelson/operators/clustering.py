@@ -46,7 +46,7 @@ def _km() -> Column:
 def radius_neighbours(df: DataFrame, eps_km: float, key: str = "track") -> DataFrame:
     """(a, b, km) for every two points within ``eps_km``, a < b."""
     rows = with_cell(df.select(key, "lat", "lon").withColumn("eps_km", F.lit(float(eps_km))))
-    near = radius_candidates(rows, rows).where(F.col(f"l_{key}") < F.col(f"r_{key}"))
+    near = radius_candidates(rows, rows, spread=True).where(F.col(f"l_{key}") < F.col(f"r_{key}"))
     return near.select(F.col(f"l_{key}").alias("a"), F.col(f"r_{key}").alias("b"), _km().alias("km")).where(
         F.col("km") <= eps_km
     )

@@ -111,6 +111,16 @@ def test_knn_curve_of_piles_and_positions_without_a_coordinate(spark):
         assert spans[0] == (1, 2, None) and spans[-1][1:] == (11, 0.0) and all(km < 1e-6 for _, _, km in spans[1:])
 
 
+def test_radius_neighbours_equal_brute_force(spark):
+    rng = np.random.default_rng(9)
+    points = clouds(rng, [(70.0, 179.9), (70.1, -179.9), (27.0, -84.0)], 60, 0.2)
+    points[:, 1] = (points[:, 1] + 180) % 360 - 180
+    points = np.concatenate([points, points[:9]])
+    near = distances(points) <= 9.0
+    out = clustering.radius_neighbours(frame(spark, points), 9.0)
+    assert {(r["a"], r["b"]) for r in out.collect()} == {(a, b) for a, b in zip(*np.nonzero(near)) if a < b}
+
+
 def test_nearest_core_wins(spark):
     rng = np.random.default_rng(6)
     points = clouds(rng, [(27.0, -84.0), (27.1, -84.0)], 60, 0.02)
