@@ -8,7 +8,7 @@ share one job.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,7 +72,10 @@ def with_ring(df: DataFrame) -> DataFrame:
     ).drop("_at", "_m")
 
 
-def radius_candidates(left: DataFrame, right: DataFrame, keys: Sequence[str] = (), spread: bool = False) -> DataFrame:
+def radius_candidates(
+    left: DataFrame, right: DataFrame, keys: Sequence[str] = (), spread: bool = False,
+    dealt: Callable[[DataFrame], DataFrame] | None = None,
+) -> DataFrame:
     """Join each left row to the right rows of the cells around it; columns get l_/r_ prefixes.
 
     ``left`` and ``right`` carry ``keys``, ``eps_km`` and cells.  Right cells with more than
@@ -80,7 +83,7 @@ def radius_candidates(left: DataFrame, right: DataFrame, keys: Sequence[str] = (
     parts, each met by its own copy of the left rows, so no task receives a whole crowd.
 
     ``spread`` deals the cells out over all shuffle partitions: where few bytes make many pairs, the join must not follow
-    the few tasks that the bytes would get.
+    the few tasks that the bytes would get.  ``dealt`` then adds columns to both sides, past the exchange.
     """
     cell = [*keys, *CELL]
     crowded = (
@@ -93,15 +96,17 @@ def radius_candidates(left: DataFrame, right: DataFrame, keys: Sequence[str] = (
     ring = ring.join(F.broadcast(at_ring), [*keys, "ring_band", "ring_col"], "left").withColumn(
         "_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))
     ).drop("_parts")
+    if spread:
+        parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ring = ring.repartition(parts, "ring_band", "ring_col", "_salt", *keys)
+        r = r.repartition(parts, *CELL, "_salt", *keys)
+    if dealt:
+        ring, r = dealt(ring), dealt(r)
     l_named = ring.select(*[F.col(c).alias(c if c in keys else f"l_{c}") for c in ring.columns])
     r_named = r.select(*[F.col(c).alias(c if c in keys else f"r_{c}") for c in r.columns])
     on = [l_named["l_ring_band"] == r_named["r_band"], l_named["l_ring_col"] == r_named["r_col"], l_named["l__salt"] == r_named["r__salt"]]
     for k in keys:
         on.append(l_named[k] == r_named[k])
-    if spread:
-        parts = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        l_named = l_named.repartition(parts, "l_ring_band", "l_ring_col", "l__salt", *keys)
-        r_named = r_named.repartition(parts, "r_band", "r_col", "r__salt", *keys)
     joined = l_named.join(r_named, on)
     for k in keys:
         joined = joined.drop(r_named[k])

@@ -8,6 +8,7 @@ inside it are ever formed.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -25,6 +26,11 @@ DIRECT_PAIRS = 4096
 HALF_GLOBE_KM = 20_100.0
 # Below a centimetre, positions in degrees are not told apart any further.
 FINEST_KM = 1e-5
+# Distances of this width, to four decimals, have so few values that Parquet numbers them: 20,000 of them, a page, repeat
+# often enough.  Beyond so many parts a radius is not divided any further.
+PART_KM = 3.4
+MOST_PARTS = 6
+FINE_CELLS = 7
 
 
 def final_messages(df: DataFrame) -> DataFrame:
@@ -44,12 +50,33 @@ def _km() -> Column:
 
 
 def radius_neighbours(df: DataFrame, eps_km: float, key: str = "track") -> DataFrame:
-    """(a, b, km) for every two points within ``eps_km``, a < b."""
-    rows = with_cell(df.select(key, "lat", "lon").withColumn("eps_km", F.lit(float(eps_km))))
-    near = radius_candidates(rows, rows, spread=True).where(F.col(f"l_{key}") < F.col(f"r_{key}"))
-    return near.select(F.col(f"l_{key}").alias("a"), F.col(f"r_{key}").alias("b"), _km().alias("km")).where(
-        F.col("km") <= eps_km
-    )
+    """(a, b, km) for every two points within ``eps_km``, a < b.
+
+    The pairs are the result and are far more than the points, so they leave in an order that keeps columnar files small.
+    Each part of the radius is a join of its own: a task writes distances of at most ``PART_KM`` width, few enough to be
+    numbered once they are rounded.  Points go in by small cells, so that one and the next have much the same neighbours.
+    """
+    points = df.select(key, "lat", "lon")
+    near_by = with_cell(points.withColumn("eps_km", F.lit(eps_km / FINE_CELLS))).orderBy(*CELL, key)
+    points = cut(near_by.select(key, "lat", "lon"))
+    n = min(MOST_PARTS, max(1, math.ceil(eps_km / PART_KM)))
+    ends = [*[eps_km * i / n for i in range(1, n)], eps_km]
+    return reduce(DataFrame.unionByName, [_pairs_between(points, low, high, key) for low, high in zip([None, *ends], ends)])
+
+
+def _pairs_between(points: DataFrame, low: float | None, high: float, key: str) -> DataFrame:
+    """(a, b, km) of the points more than ``low`` and at most ``high`` km apart, a < b."""
+    rows = with_cell(points.withColumn("eps_km", F.lit(float(high))))
+    met = radius_candidates(rows, rows, spread=True, dealt=_with_vector)
+    widest = _chord(F.lit(float(high)))
+    maybe = (F.col(f"l_{key}") < F.col(f"r_{key}")) & (widest.isNull() | (_squared_chord() <= widest))
+    if low is not None:
+        maybe &= _squared_chord() >= (2 * math.sin(low / (2 * CLUSTER_RADIUS_KM)) * (1 - 1e-6)) ** 2 - 1e-14
+    # Exploded, as Spark would else put the distance into the join and compute it several times for each pair tried there.
+    near = met.where(maybe).select(
+        F.col(f"l_{key}").alias("a"), F.col(f"r_{key}").alias("b"), F.explode(F.array(_km())).alias("km")
+    ).where(F.col("km") <= high)
+    return near if low is None else near.where(F.col("km") > low)
 
 
 def _spots(df: DataFrame, key: str) -> DataFrame:
@@ -71,8 +98,12 @@ def _chord(eps_km: Column) -> Column:
 
 def _maybe_near() -> Column:
     """What pairs within ``eps_km`` fulfil: a test without trigonometry before the exact distance."""
+    return F.col("l_chord").isNull() | (_squared_chord() <= F.col("l_chord"))
+
+
+def _squared_chord() -> Column:
     squares = [(F.col(f"l_{c}") - F.col(f"r_{c}")) * (F.col(f"l_{c}") - F.col(f"r_{c}")) for c in "xyz"]
-    return F.col("l_chord").isNull() | (squares[0] + squares[1] + squares[2] <= F.col("l_chord"))
+    return squares[0] + squares[1] + squares[2]
 
 
 def _starting_radii(spots: DataFrame, enough: int, start_km: float) -> tuple[DataFrame, list[float]]:

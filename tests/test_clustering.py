@@ -121,6 +121,37 @@ def test_radius_neighbours_equal_brute_force(spark):
     assert {(r["a"], r["b"]) for r in out.collect()} == {(a, b) for a, b in zip(*np.nonzero(near)) if a < b}
 
 
+def test_radius_neighbours_in_parts_of_the_radius_equal_brute_force(spark):
+    rng = np.random.default_rng(10)
+    points = clouds(rng, [(70.0, 179.9), (70.2, -179.8), (27.0, -84.0)], 60, 0.3)
+    points[:, 1] = (points[:, 1] + 180) % 360 - 180
+    points = np.concatenate([points, points[:9], points[:9]])
+    keys = [None if i % 50 == 7 else i - 1 if i % 40 == 3 else i for i in range(len(points))]
+    data = [(k, float(a), float(b)) for k, (a, b) in zip(keys, points)] + [(900, None, 5.0), (901, 70.0, None), (902, None, None)]
+    km = distances(points)
+    for eps in (3.0, 30.0):
+        want = sorted((keys[i], keys[j], km[i, j]) for i, j in zip(*np.nonzero(km <= eps)) if None not in (keys[i], keys[j]) and keys[i] < keys[j])
+        got = sorted(tuple(r) for r in clustering.radius_neighbours(spark.createDataFrame(data, "track long, lat double, lon double"), eps).collect())
+        assert [r[:2] for r in got] == [r[:2] for r in want]
+        assert [r[2] for r in got] == pytest.approx([r[2] for r in want], abs=1e-6)
+
+
+def test_radius_neighbours_leave_in_an_order_that_packs(spark, tmp_path):
+    rng = np.random.default_rng(11)
+    points = rng.uniform((27.0, -84.0), (27.14, -83.86), (2500, 2))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        out = clustering.radius_neighbours(frame(spark, points[rng.permutation(2500)]), 20.0)
+        out.withColumn("km", F.round("km", 4)).write.parquet(str(tmp_path / "pairs"))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    n = spark.read.parquet(str(tmp_path / "pairs")).count()
+    near = distances(points) <= 20.0
+    assert n == (near.sum() - 2500) // 2
+    assert sum(f.stat().st_size for f in (tmp_path / "pairs").glob("*.parquet")) < 5 * n
+
+
 def test_nearest_core_wins(spark):
     rng = np.random.default_rng(6)
     points = clouds(rng, [(27.0, -84.0), (27.1, -84.0)], 60, 0.02)
